@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from letterscope.catalog import traffic
+    from letterscope.catalog import letters, traffic
 
-    return [traffic]
+    return [traffic, letters]
 
 
 def all_queries() -> dict:

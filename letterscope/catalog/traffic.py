@@ -305,7 +305,7 @@ def traffic_timeline(spark, sf_dir):
 
 @query("auto_timeline", f"""WITH {KIND}, span AS (SELECT min(epoch_us) AS low, max(epoch_us) AS high FROM k),
     pick AS (SELECT low, high, (SELECT min(w) FROM (VALUES (1), (5), (10), (30), (60), (300), (600), (1800),
-        (3600), (10800), (43200), (86400)) AS t(w) WHERE (high - low) / 1e6 / w + 1 <= 50) AS width FROM span),
+        (3600), (10800), (43200), (86400::BIGINT)) AS t(w) WHERE (high - low) / 1e6 / w + 1 <= 50) AS width FROM span),
     b AS (SELECT width, unnest(range(low // (width * 1000000), high // (width * 1000000) + 1)) AS i FROM pick)
     SELECT b.i * b.width * 1000000 AS bucket_us, b.width AS width_seconds, count(k.event_id) AS n
     FROM b LEFT JOIN k ON k.epoch_us // (b.width * 1000000) = b.i GROUP BY 1, 2""")
@@ -361,8 +361,14 @@ def write_csv_lines(spark, sf_dir):
     return path
 
 
-@query("scan_ragged_csv", f"""WITH {RAW} SELECT * EXCLUDE (event_id, smtp_message),
-    trim(smtp_message) AS smtp_message FROM raw""")
+_LINE = "concat_ws(',', " + ", ".join(c.replace(".", "_") for c in CSV_CELLS) + ")"
+_RAGGED_SQL = f"""WITH {RAW}, l AS (SELECT string_split(trim(CASE WHEN event_id % 10 = 0
+    THEN regexp_replace({_LINE}, ',+$', '') ELSE {_LINE} END), ',') AS p FROM raw) SELECT """ + ", ".join(
+    f"coalesce(p[{i}], '') AS {c.replace('.', '_')}" for i, c in enumerate(CSV_CELLS[:-1], 1)
+) + f", array_to_string(p[{len(CSV_CELLS)}:], ',') AS smtp_message FROM l"
+
+
+@query("scan_ragged_csv", _RAGGED_SQL)
 def scan_ragged_csv(spark, sf_dir):
     return fr.undot(text_exports.read_ragged_csv(spark, write_csv_lines(spark, sf_dir)))
 

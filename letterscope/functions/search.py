@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letterscope.functions.text import as_col
@@ -54,3 +54,13 @@ def matches_all(text: Column | str, query: str) -> Column:
     for term in terms:
         result = result & _whole_word(as_col(text), term)
     return result
+
+
+def token_table(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per document and distinct term, with its count: ``key, token, occurrences``.
+
+    Worth storing when many queries hit the same texts.  Each group is one
+    term of one document, so no common word gathers in one task.
+    """
+    tokens = df.select(key, F.explode(analyze(text)).alias("token"))
+    return tokens.groupBy(key, "token").agg(F.count("*").alias("occurrences"))

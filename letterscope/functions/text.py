@@ -53,27 +53,30 @@ def strip_or_null(value: Column | str) -> Column:
 
 def clean_value(value: Column | str) -> Column:
     """Null words become null; then blanks, double quotes, single quotes, blanks go."""
-    cell = as_col(value)
-    bare = F.btrim(F.btrim(strip(cell), F.lit('"')), F.lit("'"))
-    return F.when(~cell.isin(NULL_WORDS), strip_or_null(bare))
+    words = "^(" + "|".join(w for w in NULL_WORDS if w) + r")\z"
+    bare = F.btrim(strip(F.regexp_replace(as_col(value), words, "")), F.lit('"'))
+    return strip_or_null(F.btrim(bare, F.lit("'")))
+
+
+def _matched(text: Column, pattern: str, kind: str) -> Column:
+    # Extracting instead of testing names the input once, which keeps nested
+    # expressions small; no match extracts '' and '' casts to null.
+    return F.regexp_extract(text, pattern, 0).try_cast(kind)
 
 
 def safe_int(value: Column | str) -> Column:
     """Signed integer text to bigint, else null."""
-    text = strip(value)
-    return F.when(text.rlike(SIGNED_INTEGER), text.try_cast("bigint"))
+    return _matched(strip(value), SIGNED_INTEGER, "bigint")
 
 
 def digit_int(value: Column | str) -> Column:
     """Digits-only text to int, else null (``250-`` and ``-1`` give null)."""
-    text = as_col(value)
-    return F.when(text.rlike(DIGITS), text.try_cast("int"))
+    return _matched(as_col(value), DIGITS, "int")
 
 
 def to_double(value: Column | str) -> Column:
     """Decimal text to double, else null.  Spark alone would also take ``1.5f``."""
-    text = strip(value)
-    return F.when(text.rlike(DECIMAL_NUMBER), text.try_cast("double"))
+    return _matched(strip(value), DECIMAL_NUMBER, "double")
 
 
 def epoch_ts(seconds: Column | str) -> Column:
