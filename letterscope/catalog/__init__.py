@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from letterscope.catalog import letters, traffic
+    from letterscope.catalog import letters, traffic, wire
 
-    return [traffic, letters]
+    return [traffic, letters, wire]
 
 
 def all_queries() -> dict:

@@ -249,7 +249,7 @@ def rebase64(spark, sf_dir):
     mail = docs.select(
         "doc_id", F.col("doc_id").alias("file_id"), F.lit("x.eml").alias("filename"),
         F.col("n_chars").alias("file_size"),
-        F.encode(F.concat(head, F.base64(F.encode("text", "UTF-8"))), "UTF-8").alias("content"),
+        F.encode(F.concat(head, F.translate(F.base64(F.encode("text", "UTF-8")), "\r\n", "")), "UTF-8").alias("content"),
     )
     parsed = mime.parse_content(mail, base64_pass=True)
     return parsed.select("doc_id", F.md5(F.col("body.text").cast("binary")).alias("text_md5"))

@@ -1,0 +1,129 @@
+"""Queries over packet captures derived from ``documents``."""
+
+from __future__ import annotations
+
+import struct
+
+import pyarrow as pa
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from letterscope.catalog.adapters import MESSAGES_SQL, messages
+from letterscope.catalog.letters import _FIRST, _key, first_form_view
+from letterscope.operators import mime, smtp_streams
+from letterscope.operators.frames import frame_records
+from letterscope.operators.reports import value_counts
+
+QUERIES = {}
+ORACLE = {}
+
+_CHUNK = 1400
+
+
+def _segment(client: bool, port: int, seq: int, ack: int, flags: int, data: bytes) -> bytes:
+    mine, theirs = bytes([10, 0, 0, 5]), bytes([192, 0, 2, 25])
+    src, dst, sp, dp = (mine, theirs, port, 25) if client else (theirs, mine, 25, port)
+    ip = struct.pack(">BBHHHBBH", 0x45, 0, 40 + len(data), 0, 0, 64, 6, 0) + src + dst
+    tcp = struct.pack(">HHIIBBHHH", sp, dp, seq % 2**32, ack % 2**32, 0x50, flags, 65535, 0, 0)
+    return b"\0" * 12 + b"\x08\x00" + ip + tcp + data
+
+
+def conversation(doc_id: int, content: bytes) -> list[bytes]:
+    """One SMTP session: commands, one message in pieces, some sent twice or out of order."""
+    port, client, server = 40000 + doc_id % 16, 2**32 - 3000 + doc_id, 7000
+    mail = content.replace(b"\r\n", b"\n").replace(b"\n", b"\r\n")
+    mail = (b"\r\n" + mail).replace(b"\r\n.", b"\r\n..")[2:] + b"\r\n.\r\n"
+    frames = [_segment(True, port, client - 1, 0, 2, b""), _segment(False, port, server - 1, client, 18, b"")]
+
+    def reply(text: bytes) -> None:
+        nonlocal server
+        frames.append(_segment(False, port, server, client, 24, text))
+        server += len(text)
+
+    def say(text: bytes) -> None:
+        nonlocal client
+        frames.append(_segment(True, port, client, server, 24, text))
+        client += len(text)
+
+    reply(b"220 mx ready\r\n")
+    for line, answer in [(b"EHLO host\r\n", b"250-mx\r\n250 SIZE\r\n"), (b"MAIL FROM:<a@example.com>\r\n", b"250 ok\r\n"),
+                         (b"RCPT TO:<b@example.org>\r\n", b"250 ok\r\n"), (b"DATA\r\n", b"354 go on\r\n")]:
+        say(line)
+        reply(answer)
+    first = len(frames)
+    for at in range(0, len(mail), _CHUNK):
+        say(mail[at : at + _CHUNK])
+    if doc_id % 3 == 0 and len(frames) - first > 2:
+        frames[first], frames[first + 1] = frames[first + 1], frames[first]
+    if doc_id % 4 == 0:
+        frames.append(frames[first])
+    reply(b"250 queued\r\n")
+    say(b"QUIT\r\n")
+    reply(b"221 bye\r\n")
+    return frames
+
+
+def capture_file(doc_id: int, content: bytes) -> bytes:
+    """The session as a capture file, classic for even and next-generation for odd ids."""
+    start = (1704067200 + doc_id * 60) * 10**6
+    frames = conversation(doc_id, content)
+    if doc_id % 2 == 0:
+        out = [struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 65535, 1)]
+        for i, f in enumerate(frames):
+            sec, micro = divmod(start + i * 100, 10**6)
+            out.append(struct.pack("<IIII", sec, micro, len(f), len(f)) + f)
+        return b"".join(out)
+    out = [struct.pack("<IIIHHqI", 0x0A0D0D0A, 28, 0x1A2B3C4D, 1, 0, -1, 28), struct.pack("<IIHHII", 1, 20, 1, 0, 0, 20)]
+    for i, f in enumerate(frames):
+        pad = -len(f) % 4
+        size, stamp = 32 + len(f) + pad, start + i * 100
+        out.append(struct.pack("<IIIIIII", 6, size, 0, stamp >> 32, stamp & 0xFFFFFFFF, len(f), len(f))
+                   + f + b"\0" * pad + struct.pack("<I", size))
+    return b"".join(out)
+
+
+@F.arrow_udf(T.BinaryType())
+def _capture(ids: pa.Array, contents: pa.Array) -> pa.Array:
+    return pa.array([capture_file(i, c) for i, c in zip(ids.to_pylist(), contents.to_pylist())], pa.binary())
+
+
+def captures(spark, sf_dir):
+    """Every document's message as one captured SMTP session."""
+    mail = messages(spark, sf_dir)
+    return mail.select(F.concat("path", F.lit(".pcap")).alias("path"), _capture("doc_id", "content").alias("content"))
+
+
+def segments(spark, sf_dir):
+    return smtp_streams.placed_segments(captures(spark, sf_dir))
+
+
+_CRLF_SQL = f"""m AS (SELECT * REPLACE (replace(page, chr(10), chr(13) || chr(10)) AS page),
+    replace(text, chr(10), chr(13) || chr(10)) AS sent FROM ({MESSAGES_SQL}))"""
+ORACLE["capture_messages"] = f"WITH {_CRLF_SQL} SELECT {_FIRST.replace('trim(text,', 'trim(sent,')} FROM m"
+
+
+def capture_messages(spark, sf_dir):
+    found = smtp_streams.captured_messages(segments(spark, sf_dir)).filter("complete")
+    spread = found.select("session", "content").repartition(spark.sparkContext.defaultParallelism)
+    return first_form_view(mime.parse_messages(spread).withColumn("doc_id", _key("message_id")))
+
+
+ORACLE["capture_frames"] = """WITH n AS (SELECT count(*) AS n FROM documents)
+    SELECT unnest(['EHLO', 'MAIL', 'RCPT', 'DATA', 'QUIT']) AS smtp_req_command, n FROM n"""
+
+
+def capture_frames(spark, sf_dir):
+    frames = frame_records(smtp_streams.captured_frames(segments(spark, sf_dir)))
+    return value_counts(frames, "smtp_req_command")
+
+
+ORACLE["capture_replies"] = """WITH n AS (SELECT count(*) AS n FROM documents)
+    SELECT unnest([220, 221, 250, 354]) AS smtp_response_code, unnest([n, n, 4 * n, n]) AS n FROM n"""
+
+
+def capture_replies(spark, sf_dir):
+    frames = frame_records(smtp_streams.captured_frames(segments(spark, sf_dir)))
+    return value_counts(frames, "smtp_response_code")
+
+
+QUERIES.update(capture_messages=capture_messages, capture_frames=capture_frames, capture_replies=capture_replies)

@@ -1,0 +1,195 @@
+"""SMTP conversations in captured packets: message bytes and frame fields.
+
+The server's replies tell where a message starts and ends: a 354 reply
+acknowledges exactly the bytes before the message, the next reply those up to
+its end.  So every client segment finds its message by its place in the byte
+stream, and no task needs a whole connection, let alone all connections of one
+address pair.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from letterscope.schemas import FRAME_EXPORT_COLUMNS
+from letterscope.sources.captures import packets
+
+# Fixed values -------------------------------------------------------------
+SMTP_PORTS = [25, 587, 2525]
+SPAN = 1 << 32  # TCP sequence numbers wrap here
+# --------------------------------------------------------------------------
+PAIR = ["client_ip", "client_port", "server_ip", "server_port"]
+SESSION = [*PAIR, "session"]
+_TIME_BLOCK_US = 60_000_000
+_BYTE_BLOCK = 16 << 20
+
+
+def _first_order() -> Column:
+    return F.struct("epoch_us", "file", "frame_no")
+
+
+def smtp_packets(captured: DataFrame, ports: list[int] = SMTP_PORTS) -> DataFrame:
+    """Segments to or from an SMTP port, with client and server told apart."""
+    to_server = F.col("dst_port").isin(ports)
+    both = captured.filter(to_server | F.col("src_port").isin(ports)).withColumn("from_client", to_server)
+
+    def side(client: str, server: str) -> Column:
+        return F.when(F.col("from_client"), F.col(client)).otherwise(F.col(server))
+
+    return both.select(
+        side("src_ip", "dst_ip").alias("client_ip"), side("src_port", "dst_port").alias("client_port"),
+        side("dst_ip", "src_ip").alias("server_ip"), side("dst_port", "src_port").alias("server_port"),
+        "*",
+    )
+
+
+def with_session(segments: DataFrame) -> DataFrame:
+    """Number the connections of each address pair: a new one starts at each opening SYN.
+
+    The count runs within minutes and adds the counts of earlier minutes, so a
+    pair that carries a large share of all packets still spreads over tasks.
+    """
+    minute = F.floor(F.col("epoch_us") / _TIME_BLOCK_US)
+    blocks = segments.withColumn("block", minute)
+    opens = F.col("syn").cast("bigint")
+    earlier = Window.partitionBy(*PAIR).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.groupBy(*PAIR, "block").agg(F.sum(opens).alias("n")).select(
+        *PAIR, "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
+    )
+    inside = Window.partitionBy(*PAIR, "block").orderBy("epoch_us", "file", "frame_no").rowsBetween(
+        Window.unboundedPreceding, 0
+    )
+    return (
+        blocks.withColumn("inside", F.sum(opens).over(inside)).join(starts, [*PAIR, "block"])
+        .withColumn("session", F.col("start") + F.col("inside")).drop("start", "inside", "block")
+    )
+
+
+def _wrapped(distance: Column) -> Column:
+    """Distance in the byte stream; just before the base counts as negative."""
+    forward = F.pmod(distance, F.lit(SPAN))
+    return F.when(forward >= SPAN // 2, forward - SPAN).otherwise(forward)
+
+
+def with_place(segments: DataFrame) -> DataFrame:
+    """Place of every segment in its client byte stream (``place``).
+
+    A client segment stands where its bytes do; a server segment stands where
+    the client bytes it acknowledges end.
+    """
+    client = F.col("from_client")
+    base = segments.groupBy(*SESSION).agg(
+        F.coalesce(
+            F.max(F.when(F.col("syn"), F.col("seq") + 1)),
+            F.min_by(F.when(client, F.col("seq")), F.when(client, _first_order())),
+            F.min_by("ack", _first_order()),
+        ).alias("base")
+    )
+    number = F.when(client, F.col("seq")).otherwise(F.col("ack"))
+    return segments.join(base, SESSION).withColumn("place", _wrapped(number - F.col("base"))).drop("base")
+
+
+def with_message(segments: DataFrame) -> DataFrame:
+    """For every segment with bytes: how many messages began before it, and whether it is inside one."""
+    text = F.decode("payload", "ISO-8859-1")
+    reply = F.when(~F.col("from_client"), F.when(text.rlike(r"(^|\n)354[ \r\n]"), 354).otherwise(0))
+    rows = (
+        segments.filter("tcp_len > 0").withColumn("reply", reply)
+        .withColumn("block", F.floor(F.col("place") / _BYTE_BLOCK))
+    )
+    begins = F.coalesce((F.col("reply") == 354).cast("bigint"), F.lit(0))
+    # At one place a reply comes before the client bytes that answer it, and
+    # replies keep the order in which they were sent.
+    order = [F.col("place"), F.col("from_client"), F.col("seq"), F.col("epoch_us"), F.col("file"), F.col("frame_no")]
+    earlier = Window.partitionBy(*SESSION).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*SESSION, "block").agg(
+        F.sum(begins).alias("n"),
+        F.max_by(F.col("reply"), F.when(F.col("reply").isNotNull(), F.struct("place", "seq", "epoch_us"))).alias("r"),
+    )
+    starts = blocks.select(
+        *SESSION, "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"),
+        F.last("r", ignorenulls=True).over(earlier).alias("r"),
+    )
+    inside = Window.partitionBy(*SESSION, "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    counted = rows.withColumn("inside", F.sum(begins).over(inside)).withColumn(
+        "last_reply", F.last("reply", ignorenulls=True).over(inside)
+    )
+    return (
+        counted.join(starts, [*SESSION, "block"])
+        .withColumn("message_no", F.col("start") + F.col("inside"))
+        .withColumn("in_message", F.col("from_client") & (F.coalesce("last_reply", "r") == 354))
+        .withColumn("in_message", F.coalesce("in_message", F.lit(False)))
+        .drop("start", "inside", "block", "last_reply", "r", "reply")
+    )
+
+
+def placed_segments(captures: DataFrame, ports: list[int] = SMTP_PORTS) -> DataFrame:
+    """Capture files (``path, content``) to SMTP segments with session, place and message."""
+    return with_message(with_place(with_session(smtp_packets(packets(captures), ports))))
+
+
+def captured_messages(segments: DataFrame) -> DataFrame:
+    """Message bytes out of placed segments: keys, ``complete`` and ``content``.
+
+    A message is the largest thing ever gathered in one place.
+    """
+    key = [*SESSION, "message_no"]
+    inside = segments.filter("in_message")
+    copies = inside.groupBy(*key, "place").agg(
+        F.max_by("payload", F.octet_length("payload")).alias("payload"), F.min("epoch_us").alias("epoch_us")
+    )
+    end = F.col("place") + F.octet_length("payload")
+    before = Window.partitionBy(*key).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max(end).over(before), F.col("place"))
+    fresh = copies.withColumn("reached", reached).filter(end > F.col("reached"))
+    skip = F.greatest(F.col("reached") - F.col("place"), F.lit(0)).cast("int")
+    pieces = fresh.select(
+        *key, "place", "epoch_us", (F.col("place") > F.col("reached")).alias("gap"),
+        F.substring(F.decode("payload", "ISO-8859-1"), skip + 1, F.octet_length("payload")).alias("text"),
+    )
+    whole = pieces.groupBy(*key).agg(
+        F.min("epoch_us").alias("epoch_us"), F.max("gap").alias("gap"),
+        F.array_sort(F.collect_list(F.struct("place", "text"))).alias("pieces"),
+    )
+    stream = F.array_join(F.col("pieces.text"), "")
+    # A line with only a dot ends the message; other leading dots were doubled.
+    closed = F.concat(F.lit("\r\n"), stream)
+    body = F.substring_index(closed, "\r\n.\r\n", 1)
+    found = F.contains(closed, F.lit("\r\n.\r\n"))
+    plain = F.substring(F.regexp_replace(body, r"\r\n\.", "\r\n"), F.lit(3), F.length(closed))
+    return whole.select(
+        *key, "epoch_us", (found & ~F.col("gap")).alias("complete"),
+        F.encode(F.concat(plain, F.lit("\r\n")), "ISO-8859-1").alias("content"),
+    )
+
+
+def captured_frames(segments: DataFrame) -> DataFrame:
+    """The 13 export fields of every captured segment with SMTP bytes, as text, plus its place of origin.
+
+    Commands show the dissector's split: four characters, then what follows
+    the next one.
+    """
+    line = F.regexp_extract(F.decode("payload", "ISO-8859-1"), r"^([^\r\n]*)", 1)
+    tls = F.hex(F.substring("payload", 1, 2)).rlike("^1[4-7]03")
+    spoken = F.col("from_client") & ~F.col("in_message") & ~tls & line.rlike(r"^[A-Za-z]{4}")
+    code = F.nullif(F.regexp_extract(line, r"^([0-9]{3})([ -]|$)", 1), F.lit(""))
+    answered = ~F.col("from_client") & ~tls & code.isNotNull()
+
+    def when(test: Column, value: Column) -> Column:
+        return F.when(test, F.nullif(value, F.lit("")))
+
+    cells = [
+        F.concat(
+            F.floor(F.col("epoch_us") / 1000000).cast("string"), F.lit("."),
+            F.lpad((F.col("epoch_us") % 1000000).cast("string"), 6, "0"),
+        ),
+        F.col("src_ip"), F.col("src_port").cast("string"), F.col("dst_ip"), F.col("dst_port").cast("string"),
+        when(spoken, line), when(spoken, F.substring(line, 1, 4)), when(spoken, F.substring(line, F.lit(6), F.length(line))),
+        when(answered, code), when(answered, F.substring(line, F.lit(5), F.length(line))),
+        F.col("tcp_len").cast("string"), F.col("frame_len").cast("string"),
+        F.when(tls, F.conv(F.hex(F.substring("payload", 1, 1)), 16, 10)),
+    ]
+    named = [c.alias(n) for c, n in zip(cells, FRAME_EXPORT_COLUMNS)]
+    return segments.select("file", "frame_no", *named, F.lit(len(named)).alias("n_fields"))

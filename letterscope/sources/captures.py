@@ -1,0 +1,135 @@
+"""Packet captures to packet rows: classic and next-generation files, TCP over IPv4."""
+
+from __future__ import annotations
+
+import struct
+from collections.abc import Iterator
+from ipaddress import IPv4Address
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+
+PACKET = (
+    "file string, frame_no bigint, epoch_us bigint, src_ip string, src_port bigint, dst_ip string, "
+    "dst_port bigint, seq bigint, ack bigint, syn boolean, payload binary, tcp_len bigint, frame_len bigint"
+)
+# Fixed values -------------------------------------------------------------
+CLASSIC = {  # magic -> byte order, ticks per second
+    b"\xd4\xc3\xb2\xa1": ("<", 10**6), b"\xa1\xb2\xc3\xd4": (">", 10**6),
+    b"\x4d\x3c\xb2\xa1": ("<", 10**9), b"\xa1\xb2\x3c\x4d": (">", 10**9),
+}
+NEXT_GENERATION = b"\x0a\x0d\x0d\x0a"
+LINK_HEADER = {1: (14, 12), 113: (16, 14)}  # link type -> header length, offset of the protocol field
+RAW_IP = (12, 14, 101, 228)
+IPV4, VLAN, TCP, SYN, ACK = 0x0800, (0x8100, 0x88A8), 6, 2, 16
+# --------------------------------------------------------------------------
+
+
+def _classic(data: bytes) -> Iterator[tuple]:
+    order, ticks = CLASSIC[data[:4]]
+    link = struct.unpack_from(order + "I", data, 20)[0] & 0xFFFF
+    at = 24
+    while at + 16 <= len(data):
+        seconds, part, kept, length = struct.unpack_from(order + "IIII", data, at)
+        yield seconds * 10**6 + part * 10**6 // ticks, link, length, data[at + 16 : at + 16 + kept]
+        at += 16 + kept
+
+
+def _options(data: bytes, at: int, end: int, order: str) -> Iterator[tuple[int, bytes]]:
+    while at + 4 <= end:
+        code, size = struct.unpack_from(order + "HH", data, at)
+        if code == 0:
+            return
+        yield code, data[at + 4 : at + 4 + size]
+        at += 4 + (size + 3) // 4 * 4
+
+
+def _next_generation(data: bytes) -> Iterator[tuple]:
+    at, order, interfaces = 0, "<", []
+    while at + 12 <= len(data):
+        if data[at : at + 4] == NEXT_GENERATION:
+            order = "<" if data[at + 8 : at + 12] == b"\x4d\x3c\x2b\x1a" else ">"
+            interfaces = []
+        kind, total = struct.unpack_from(order + "II", data, at)
+        if total < 12:
+            return
+        if kind == 1:  # interface: link type and clock
+            ticks = 10**6
+            for code, value in _options(data, at + 16, at + total - 4, order):
+                if code == 9:
+                    ticks = 2 ** (value[0] & 0x7F) if value[0] & 0x80 else 10 ** value[0]
+            interfaces.append((struct.unpack_from(order + "H", data, at + 8)[0], ticks))
+        elif kind == 6:  # packet
+            which, high, low, kept, length = struct.unpack_from(order + "IIIII", data, at + 8)
+            link, ticks = interfaces[which]
+            yield (high << 32 | low) * 10**6 // ticks, link, length, data[at + 28 : at + 28 + kept]
+        at += total
+
+
+def _tcp(link: int, frame: bytes) -> tuple | None:
+    """Addresses, numbers, flags and payload of a TCP segment over IPv4, else None."""
+    start = 0
+    if link in LINK_HEADER:
+        start, field = LINK_HEADER[link]
+        if len(frame) < start:
+            return None
+        kind = struct.unpack_from(">H", frame, field)[0]
+        while kind in VLAN and len(frame) >= start + 4:
+            kind = struct.unpack_from(">H", frame, start + 2)[0]
+            start += 4
+        if kind != IPV4:
+            return None
+    elif link not in RAW_IP:
+        return None
+    if len(frame) < start + 20 or frame[start] >> 4 != 4 or frame[start + 9] != TCP:
+        return None
+    total, fragment = struct.unpack_from(">H2xH", frame, start + 2)
+    tcp = start + (frame[start] & 15) * 4
+    if fragment & 0x1FFF or len(frame) < tcp + 20:
+        return None
+    sport, dport, seq, ack, offset, flags = struct.unpack_from(">HHIIBB", frame, tcp)
+    body = tcp + (offset >> 4) * 4
+    src, dst = (str(IPv4Address(frame[start + i : start + i + 4])) for i in (12, 16))
+    payload = frame[body : start + total]
+    opens = bool(flags & SYN) and not flags & ACK
+    return src, sport, dst, dport, seq, ack, opens, payload, start + total - body
+
+
+def packets_of(name: str, data: bytes) -> Iterator[tuple]:
+    reader = _classic if data[:4] in CLASSIC else _next_generation if data[:4] == NEXT_GENERATION else None
+    for number, (time, link, length, frame) in enumerate(reader(data) if reader else (), 1):
+        found = _tcp(link, frame)
+        if found:
+            yield (name, number, time, *found, length)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [field.split()[0] for field in PACKET.split(", ")]
+    types = {"string": pa.string(), "bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    kinds = [types[field.split()[1]] for field in PACKET.split(", ")]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names
+        )
+
+    rows = []
+    for files in batches:
+        for name, content in zip(files.column(0), files.column(1)):
+            for row in packets_of(name.as_py(), content.as_py()):
+                rows.append(row)
+                if len(rows) == 4096:
+                    yield batch(rows)
+                    rows = []
+    if rows:
+        yield batch(rows)
+
+
+def packets(captures: DataFrame) -> DataFrame:
+    """TCP segments of capture files given as ``path, content``.  One file is one task's work."""
+    return captures.select("path", "content").mapInArrow(_read, PACKET)
+
+
+def read_captures(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Capture files of a folder.  Captures arrive rotated: one file must fit in a worker."""
+    return spark.read.format("binaryFile").load(path)
