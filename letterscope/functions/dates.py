@@ -26,6 +26,7 @@ ISO_DATE = (
 )
 # --------------------------------------------------------------------------
 
+_MARK = "\x01"
 _MAIL_DATE = (
     r"^(?:[A-Za-z]+\s*,?\s+|[A-Za-z]+,)?([0-9]{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*[.]?[\s-]+([0-9]{2,4})\s+"
     r"([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2}))?(?:\s+([+-][0-9]{4}|[A-Za-z]+))?\s*\z"
@@ -50,20 +51,25 @@ def mail_date(value: Column | str) -> Column:
     and reads the clock as UTC.  Unreadable text gives null.
     """
     text = F.regexp_replace(strip(value), r"(\s*\([^()]*\))+\s*\z", "")
-    return bind(text, lambda t: bind(F.struct(*[_piece(t, i).alias(f"p{i}") for i in range(1, 8)]), _read))
+    # One match gives all seven pieces.
+    marked = F.regexp_replace(text, _MAIL_DATE, "".join(f"{_MARK}${i}" for i in range(1, 8)))
+    return bind(F.split(marked, _MARK, -1), _read)
 
 
-def _piece(text: Column, i: int) -> Column:
-    return F.nullif(F.regexp_extract(text, _MAIL_DATE, i), F.lit(""))
+def _read(pieces: Column) -> Column:
+    def p(i: int) -> Column:
+        return F.get(pieces, F.lit(i))
 
+    def number(i: int) -> Column:
+        return p(i).try_cast("int")
 
-def _read(p: Column) -> Column:
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(p["p2"])).cast("int")
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(p(2))).cast("int")
     clock = F.try_make_timestamp_ntz(
-        _full_year(p["p3"].cast("int")), F.nullif(month, F.lit(0)), p["p1"].cast("int"),
-        p["p4"].cast("int"), p["p5"].cast("int"), F.coalesce(p["p6"], F.lit("0")).cast("decimal(16,6)"),
+        _full_year(number(3)), F.nullif(month, F.lit(0)), number(1), number(4), number(5),
+        F.coalesce(p(6).try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")),
     ).cast("timestamp")
-    zone = p["p7"]
+    clock = F.when((F.size(pieces) == 8) & (p(0) == ""), clock)
+    zone = p(7)
     names = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
     numeric = F.when(zone.rlike("^[+-]") & (zone != "-0000"), zone.try_cast("int"))
     offset = bind(F.coalesce(numeric, names[F.upper(zone)]), _seconds)

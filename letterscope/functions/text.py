@@ -38,6 +38,19 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _edge_may_go(text: Column) -> Column:
+    """False if neither end can be white space or a quote: plain ASCII marks above ``'``.
+
+    Trimming with a character set costs far more than looking at two
+    characters, and nearly all cells need no trimming.
+    """
+    def suspect(char: Column) -> Column:
+        code = F.ascii(char)
+        return (code <= 39) | (code >= 127)
+
+    return suspect(text) | suspect(F.right(text, F.lit(1)))
+
+
 def strip(value: Column | str) -> Column:
     """Remove white space at both ends (Spark's plain ``trim`` removes blanks only)."""
     return F.btrim(as_col(value), F.lit(WHITESPACE))
@@ -53,9 +66,11 @@ def strip_or_null(value: Column | str) -> Column:
 
 def clean_value(value: Column | str) -> Column:
     """Null words become null; then blanks, double quotes, single quotes, blanks go."""
-    words = "^(" + "|".join(w for w in NULL_WORDS if w) + r")\z"
-    bare = F.btrim(strip(F.regexp_replace(as_col(value), words, "")), F.lit('"'))
-    return strip_or_null(F.btrim(bare, F.lit("'")))
+    cell = as_col(value)
+    blanks = F.lit(WHITESPACE)
+    bare = F.btrim(F.btrim(F.btrim(cell, blanks), F.lit('"')), F.lit("'"))
+    trimmed = F.when(_edge_may_go(cell), empty_to_null(F.btrim(bare, blanks))).otherwise(cell)
+    return F.when(~cell.isin(NULL_WORDS), trimmed)
 
 
 def _matched(text: Column, pattern: str, kind: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from letterscope.functions import address, smtp
 from letterscope.functions.text import clean_value, digit_int, epoch_ts, safe_int, to_double
-from letterscope.schemas import TRAFFIC_DOCUMENT
+from letterscope.schemas import TRAFFIC_DOCUMENT, struct
 
 
 def undot(df: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def traffic_documents(classified: DataFrame, *keys: str) -> DataFrame:
         "email_message": F.col("smtp_message"),
         "protocol": F.lit("SMTP"),
     }
-    columns = [picked.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in TRAFFIC_DOCUMENT]
+    columns = [picked.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in struct(TRAFFIC_DOCUMENT)]
     return loadable(classified).select(*keys, *columns)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from letterscope.functions.dates import strict_date
 from letterscope.functions.html import resolve_body
 from letterscope.functions.net import is_ip, is_private
+from letterscope.schemas import struct
 
 
 def final_documents(joined: DataFrame, *keys: str) -> DataFrame:
@@ -73,12 +74,12 @@ def upsert(existing: DataFrame, new: DataFrame, key: str, *sequence: str) -> Dat
     return existing.join(latest.select(key), key, "left_anti").unionByName(latest)
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
+def conform(df: DataFrame, schema: str | StructType) -> DataFrame:
     """Columns of the declared schema, cast, in its order."""
-    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in struct(schema)])
 
 
-def replace_table(df: DataFrame, schema: StructType, path: str, partition_by: list[str] | None = None) -> None:
+def replace_table(df: DataFrame, schema: str | StructType, path: str, partition_by: list[str] | None = None) -> None:
     """Create or replace a parquet table with a declared schema; old data is dropped."""
     writer = conform(df, schema).write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)

@@ -27,14 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from letterscope.functions.text import as_col, strip_or_null
-from letterscope.schemas import ATTACHMENT
+from letterscope.schemas import ATTACHMENT, struct
 
 _PART = (
     "struct<leaf: int, content_type: string, disposition: string, filename: string, raw_filename: string, "
     "param_name: string, extension: string, size: bigint, md5: string, sha256: string, "
     "text: string, utf8_text: string>"
 )
-TAKEN_APART = T.StructType.fromDDL(
+TAKEN_APART = (
     "problem string, multipart boolean, content_type string, subject string, raw_subject string, "
     f"headers array<struct<name: string, value: string>>, header_map map<string,string>, parts array<{_PART}>"
 )
@@ -130,10 +130,12 @@ def take_apart(content: bytes, again: bool) -> dict:
 def _arrow_type() -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
-    return to_arrow_type(TAKEN_APART)
+    return to_arrow_type(struct(TAKEN_APART))
 
 
 def _taker(again: bool):
+    returned = _arrow_type()
+
     def run(contents: pa.Array) -> pa.Array:
         rows = []
         for item in contents:
@@ -141,11 +143,11 @@ def _taker(again: bool):
                 rows.append(take_apart(item.as_py() or b"", again))
             except Exception as error:
                 rows.append({"problem": sound(f"{type(error).__name__}: {error}")})
-        return pa.array(rows, _arrow_type())
+        return pa.array(rows, returned)
 
     # Marked nondeterministic so that a filter on the result does not make the
     # optimizer run the parser twice.
-    return F.arrow_udf(run, returnType=TAKEN_APART).asNondeterministic()
+    return F.arrow_udf(run, returnType=struct(TAKEN_APART)).asNondeterministic()
 
 
 def with_parts(messages: DataFrame, base64_pass: bool = False) -> DataFrame:

@@ -1,9 +1,14 @@
-"""Declared schemas of the engine's inputs and tables."""
+"""Declared schemas of the engine's inputs and tables, as DDL text."""
 
 from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
+
+def struct(schema: str | StructType) -> StructType:
+    """The type a DDL text names (reading DDL needs a running session)."""
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
 ATTACHMENT = (
     "struct<filename: string, content_type: string, size: bigint, "
     "content_disposition: string, md5: string, sha256: string>"
@@ -17,14 +22,14 @@ FRAME_EXPORT_COLUMNS = [
     "tls.record.content_type",
 ]
 
-FRAME = StructType.fromDDL(
+FRAME = (
     "timestamp double, src_ip string, src_port bigint, dst_ip string, dst_port bigint, "
     "protocol string, smtp_command_line string, smtp_req_command string, "
     "smtp_req_parameter string, smtp_response_code bigint, smtp_response string, "
     "tcp_len bigint, frame_len bigint, tls_record_content_type string, is_starttls boolean"
 )
 
-TRAFFIC_DOCUMENT = StructType.fromDDL(
+TRAFFIC_DOCUMENT = (
     "frame_time_epoch double, source_ip string, destination_ip string, source_port int, "
     "destination_port int, smtp_command string, smtp_parameter string, response_code int, "
     "response_message string, from_email string, to_email string, email_message string, "
@@ -32,13 +37,13 @@ TRAFFIC_DOCUMENT = StructType.fromDDL(
     "timestamp timestamp"
 )
 
-MESSAGE = StructType.fromDDL(
+MESSAGE = (
     "message_id string, date string, `from` array<string>, `to` array<string>, "
     f"cc array<string>, bcc array<string>, subject string, body_text string, body_html string, "
     f"attachments array<{ATTACHMENT}>"
 )
 
-CONTENT = StructType.fromDDL(
+CONTENT = (
     "file_id bigint, filename string, file_size bigint, headers map<string,string>, "
     "body struct<text: string, html: string>, "
     "metadata struct<message_id: string, date: string, `from`: string, `to`: string, cc: string, "
@@ -49,7 +54,7 @@ CONTENT = StructType.fromDDL(
 )
 
 _PEER = "struct<ip: string, port: bigint, is_private: boolean>"
-FINAL_DOCUMENT = StructType.fromDDL(
+FINAL_DOCUMENT = (
     "timestamp string, "
     "email struct<`from`: array<string>, `to`: array<string>, cc: array<string>, bcc: array<string>>, "
     "message struct<message_id: string, subject: string, content_type: string, body_text: string, "

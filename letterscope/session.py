@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    # Above 8000 bytes the JVM does not compile a method; wide projections run
+    # faster as many small ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 

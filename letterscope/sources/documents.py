@@ -33,7 +33,7 @@ def read_messages(
     )
 
 
-def read_json_array(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str | list[str], schema: str | StructType) -> DataFrame:
     """Files holding one JSON array each; unreadable input is an error.
 
     One such file is one task.  Data written by this engine is one document
@@ -42,11 +42,11 @@ def read_json_array(spark: SparkSession, path: str | list[str], schema: StructTy
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
-def read_json_lines(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str | list[str], schema: str | StructType) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def read_json_files(spark: SparkSession, path: str, schema: StructType, pattern: str = "*.json") -> DataFrame:
+def read_json_files(spark: SparkSession, path: str, schema: str | StructType, pattern: str = "*.json") -> DataFrame:
     """One JSON object per file, with the file's name; unreadable files are skipped."""
     return (
         spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED")

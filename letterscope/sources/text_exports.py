@@ -105,19 +105,19 @@ def read_quoted_csv(spark: SparkSession, path: str | list[str], header: list[str
     )
 
 
-def read_session_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+def read_session_csv(spark: SparkSession, path: str | list[str], schema: str | T.StructType) -> DataFrame:
     """Header CSV with a declared schema and trimmed column names."""
     raw = spark.read.option("header", True).schema(schema).csv(path)
     return raw.toDF(*[name.strip() for name in raw.columns])
 
 
-def read_bulk_file(spark: SparkSession, path: str | list[str], document: T.StructType) -> DataFrame:
+def read_bulk_file(spark: SparkSession, path: str | list[str], document: str | T.StructType) -> DataFrame:
     """Action and document lines, paired in file order.
 
     Columns: file_name, pair_no, _index, _id, _source, problem.  A line without
     its partner, or one that does not parse, is reported in ``problem``.
     """
-    action = T.StructType.fromDDL("index struct<_index: string, _id: string>")
+    action = "index struct<_index: string, _id: string>"
     pairs = (
         numbered_lines(spark, path)
         .groupBy("file_path", "file_name", F.floor(F.col("line_no") / 2).alias("pair_no"))
