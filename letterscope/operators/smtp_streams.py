@@ -92,7 +92,8 @@ def with_place(segments: DataFrame) -> DataFrame:
 
 
 def with_message(segments: DataFrame) -> DataFrame:
-    """For every segment with bytes: how many messages began before it, and whether it is inside one."""
+    """For every segment with bytes: how many messages began before it, where the last one did
+    (``begin``), and whether the segment is inside one (``in_message``)."""
     text = F.decode("payload", "ISO-8859-1")
     reply = F.when(~F.col("from_client"), F.when(text.rlike(r"(^|\n)354[ \r\n]"), 354).otherwise(0))
     rows = (
@@ -100,28 +101,31 @@ def with_message(segments: DataFrame) -> DataFrame:
         .withColumn("block", F.floor(F.col("place") / _BYTE_BLOCK))
     )
     begins = F.coalesce((F.col("reply") == 354).cast("bigint"), F.lit(0))
+    go_place = F.when(F.col("reply") == 354, F.col("place"))
     # At one place a reply comes before the client bytes that answer it, and
     # replies keep the order in which they were sent.
     order = [F.col("place"), F.col("from_client"), F.col("seq"), F.col("epoch_us"), F.col("file"), F.col("frame_no")]
     earlier = Window.partitionBy(*SESSION).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = rows.groupBy(*SESSION, "block").agg(
         F.sum(begins).alias("n"),
+        F.max(go_place).alias("go"),
         F.max_by(F.col("reply"), F.when(F.col("reply").isNotNull(), F.struct("place", "seq", "epoch_us"))).alias("r"),
     )
     starts = blocks.select(
         *SESSION, "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"),
-        F.last("r", ignorenulls=True).over(earlier).alias("r"),
+        F.last("r", ignorenulls=True).over(earlier).alias("r"), F.max("go").over(earlier).alias("go"),
     )
     inside = Window.partitionBy(*SESSION, "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     counted = rows.withColumn("inside", F.sum(begins).over(inside)).withColumn(
         "last_reply", F.last("reply", ignorenulls=True).over(inside)
-    )
+    ).withColumn("go_inside", F.max(go_place).over(inside))
     return (
         counted.join(starts, [*SESSION, "block"])
         .withColumn("message_no", F.col("start") + F.col("inside"))
         .withColumn("in_message", F.col("from_client") & (F.coalesce("last_reply", "r") == 354))
         .withColumn("in_message", F.coalesce("in_message", F.lit(False)))
-        .drop("start", "inside", "block", "last_reply", "r", "reply")
+        .withColumn("begin", F.coalesce("go_inside", "go"))
+        .drop("start", "inside", "block", "last_reply", "r", "reply", "go", "go_inside")
     )
 
 
@@ -138,11 +142,12 @@ def captured_messages(segments: DataFrame) -> DataFrame:
     key = [*SESSION, "message_no"]
     inside = segments.filter("in_message")
     copies = inside.groupBy(*key, "place").agg(
-        F.max_by("payload", F.octet_length("payload")).alias("payload"), F.min("epoch_us").alias("epoch_us")
+        F.max_by("payload", F.octet_length("payload")).alias("payload"), F.min("epoch_us").alias("epoch_us"),
+        F.min("begin").alias("begin"),
     )
     end = F.col("place") + F.octet_length("payload")
     before = Window.partitionBy(*key).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    reached = F.coalesce(F.max(end).over(before), F.col("place"))
+    reached = F.coalesce(F.max(end).over(before), F.col("begin"))
     fresh = copies.withColumn("reached", reached).filter(end > F.col("reached"))
     skip = F.greatest(F.col("reached") - F.col("place"), F.lit(0)).cast("int")
     pieces = fresh.select(

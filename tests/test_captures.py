@@ -1,0 +1,49 @@
+import pytest
+
+from letterscope.catalog.wire import capture_file, conversation
+from letterscope.operators import smtp_streams
+from letterscope.operators.frames import frame_records
+from letterscope.sources.captures import packets_of
+
+MAIL = b"Subject: s\r\n\r\n" + b".dot\r\n354 not a reply\r\nMAIL FROM:<not a command>\r\n" + b"x" * 5000 + b"\r\n. \r\n"
+
+
+def placed(spark, files):
+    df = spark.createDataFrame([(n, bytearray(b)) for n, b in files], "path string, content binary")
+    return smtp_streams.placed_segments(df)
+
+
+def test_both_file_kinds_hold_the_same_packets():
+    a, b = (list(packets_of("f", capture_file(i, MAIL))) for i in (2, 1))
+    assert [p[10] for p in a] == [p[10] for p in b]
+    assert a[0][9] is True and a[0][3:7] == ("10.0.0.5", 40002, "192.0.2.25", 25)
+
+
+@pytest.mark.parametrize("ids", [[12], [0, 16, 32, 3, 19]])
+def test_messages_come_back_whole(spark, ids):
+    found = smtp_streams.captured_messages(placed(spark, [(f"{i}.pcap", capture_file(i, MAIL)) for i in ids]))
+    rows = found.orderBy("epoch_us").collect()
+    assert [bytes(r["content"]) for r in rows] == [MAIL + b"\r\n"] * len(ids)
+    assert all(r["complete"] for r in rows)
+
+
+def test_lost_packet_is_reported(spark):
+    data = capture_file(2, MAIL)
+    frames = conversation(2, MAIL)
+    lost = max(frames, key=len)
+    at = data.index(lost)
+    cut = data[: at - 16] + data[at + len(lost):]
+    rows = smtp_streams.captured_messages(placed(spark, [("x", cut)])).collect()
+    assert len(rows) == 1 and not rows[0]["complete"]
+
+
+def test_frames(spark):
+    rows = frame_records(smtp_streams.captured_frames(placed(spark, [("x", capture_file(1, MAIL))]))).collect()
+    commands = sorted(r["smtp_req_command"] for r in rows if r["smtp_req_command"])
+    assert commands == ["DATA", "EHLO", "MAIL", "QUIT", "RCPT"]
+    assert {r["smtp_response_code"] for r in rows} == {None, 220, 221, 250, 354}
+    assert {r["smtp_req_parameter"] for r in rows if r["smtp_req_command"] == "MAIL"} == {"FROM:<a@example.com>"}
+
+
+def test_not_a_capture():
+    assert list(packets_of("f", b"")) == [] and list(packets_of("f", b"hello world, no capture here")) == []
