@@ -41,6 +41,25 @@ TAKEN_APART = (
 BASE64_TEXT = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=\n")
 
 
+_HEADERS: dict[tuple[str, str], object] = {}
+
+
+class RememberingPolicy(policy.EmailPolicy):
+    """The default policy, without reading the same header text again and again.
+
+    The parser asks for a part's content type a dozen times, and messages share
+    many headers; a header object depends on its name and text alone.
+    """
+
+    def header_fetch_parse(self, name, value):
+        key = (name, value)
+        if key not in _HEADERS:
+            if len(_HEADERS) >= 1024:
+                _HEADERS.clear()
+            _HEADERS[key] = super().header_fetch_parse(name, value)
+        return _HEADERS[key]
+
+
 def sound(value: object) -> str | None:
     """Text that can be encoded; stray surrogates become replacement marks."""
     return None if value is None else str(value).encode("utf-8", "replace").decode("utf-8")
@@ -67,6 +86,16 @@ def decode_subject(value: str) -> str:
         return value
 
 
+_EXTENSIONS: dict[str, str] = {}
+
+
+def extension(kind: str) -> str:
+    """File extension for a content type, from the standard table alone."""
+    if kind not in _EXTENSIONS:
+        _EXTENSIONS[kind] = mimetypes.MimeTypes(()).guess_extension(kind) or ".bin"
+    return _EXTENSIONS[kind]
+
+
 def decode_charset(data: bytes, charset: str | None) -> str:
     try:
         return data.decode(charset or "utf-8", "replace")
@@ -92,7 +121,7 @@ def _part(part, leaf: int | None, body_candidate: bool, again: bool) -> dict:
         "leaf": leaf, "content_type": sound(kind), "disposition": part.get_content_disposition(),
         "raw_filename": sound(filename), "filename": sound(decode_words(filename)) if filename else None,
         "param_name": sound(decode_words(collapse_rfc2231_value(param))) if param else None,
-        "extension": mimetypes.MimeTypes(()).guess_extension(kind) or ".bin",
+        "extension": extension(kind),
     }
     if leaf is None:
         return row
@@ -110,7 +139,7 @@ def _part(part, leaf: int | None, body_candidate: bool, again: bool) -> dict:
 
 
 def take_apart(content: bytes, again: bool) -> dict:
-    message = BytesParser(policy=policy.default).parsebytes(content)
+    message = BytesParser(policy=RememberingPolicy()).parsebytes(content)
     headers = [(sound(k), sound(v)) for k, v in message.items()]
     multipart = message.is_multipart()
     parts, leaves = [], 0
