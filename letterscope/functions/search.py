@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from letterscope.functions.text import as_col
+from letterscope.functions.text import as_col, bind
 
 # Fixed values -------------------------------------------------------------
 STOP_WORDS = [
@@ -33,27 +36,28 @@ def _terms(query: str) -> list[str]:
 
 
 def _whole_word(text: Column, term: str) -> Column:
-    # One pass per term over the text, without building a word array per row.
-    return F.coalesce(
-        F.lower(text).rlike(rf"(?<![\p{{L}}\p{{N}}]){term}(?![\p{{L}}\p{{N}}])"), F.lit(False)
+    # A plain substring test settles most rows; the pattern confirms the rest.
+    return F.contains(text, F.lit(term)) & text.rlike(
+        rf"(?<![\p{{L}}\p{{N}}]){term}(?![\p{{L}}\p{{N}}])"
     )
 
 
+def _combined(text: Column | str, query: str, join: Callable[[Column, Column], Column]) -> Column:
+    terms = _terms(query)
+    if not terms:
+        return F.lit(False)
+    lowered = F.lower(F.coalesce(as_col(text), F.lit("")))
+    return bind(lowered, lambda t: reduce(join, [_whole_word(t, term) for term in terms]))
+
+
 def matches_any(text: Column | str, query: str) -> Column:
     """At least one query term is a word of the text."""
-    result = F.lit(False)
-    for term in _terms(query):
-        result = result | _whole_word(as_col(text), term)
-    return result
+    return _combined(text, query, lambda a, b: a | b)
 
 
 def matches_all(text: Column | str, query: str) -> Column:
     """Every query term is a word of the text; a query of stop words only matches nothing."""
-    terms = _terms(query)
-    result = F.lit(bool(terms))
-    for term in terms:
-        result = result & _whole_word(as_col(text), term)
-    return result
+    return _combined(text, query, lambda a, b: a & b)
 
 
 def token_table(df: DataFrame, key: str, text: str) -> DataFrame:

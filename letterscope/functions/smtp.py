@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from letterscope.functions.text import as_col, contains_any_case, strip
+from letterscope.functions.text import as_col, bind, contains_any_case, strip
 
 # Fixed values -------------------------------------------------------------
 COMMANDS = [
@@ -25,9 +25,11 @@ TLS_PORTS = ["465", "587", "993", "995"]
 
 def smtp_command(command: Column | str) -> Column:
     """First listed command contained in the text, ``OTHER`` if none, null stays null."""
-    text = F.upper(strip(command))
-    found = F.coalesce(*[F.when(F.contains(text, F.lit(name)), F.lit(name)) for name in COMMANDS])
-    return F.when(text.isNotNull(), F.coalesce(found, F.lit("OTHER")))
+    def first(text: Column) -> Column:
+        tests = [F.when(F.contains(text, F.lit(name)), F.lit(name)) for name in COMMANDS]
+        return F.when(text.isNotNull(), F.coalesce(*tests, F.lit("OTHER")))
+
+    return bind(F.upper(strip(command)), first)
 
 
 def is_starttls_frame(command: Column | str, command_line: Column | str) -> Column:

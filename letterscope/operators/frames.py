@@ -66,11 +66,10 @@ def classify_frames(clean: DataFrame) -> DataFrame:
         epoch_ts(to_double("frame_time_epoch")).alias("timestamp"),
         smtp.smtp_command("smtp_req_command").alias("smtp_command"),
         encrypted.alias("is_encrypted"),
-        smtp.encryption_status(encrypted).alias("encryption_status"),
         smtp.record_type("smtp_req_command", "smtp_response_code").alias("record_type"),
         address.final_address("cflow_pie_ntop_smtp_mail_from", "smtp_req_parameter").alias("final_from"),
         address.final_address("cflow_pie_ntop_smtp_rcpt_to", "smtp_req_parameter").alias("final_to"),
-    )
+    ).withColumn("encryption_status", smtp.encryption_status("is_encrypted"))
 
 
 def loadable(classified: DataFrame) -> DataFrame:
