@@ -234,4 +234,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
 def good_documents(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns unchanged."""
     judged = judge(docs.select("text", F.struct("*").alias("__row")), fit(docs, labels, per_class))
-    return judged.filter("kept").select("__row.*")
+    # A filter would be moved below the steps that build the counts and repeat
+    # them all; it stays above a column that is not a function of the row.
+    numbered = judged.withColumn("__place", F.monotonically_increasing_id())
+    return numbered.filter(F.col("kept") & (F.col("__place") >= 0)).select("__row.*")

@@ -76,7 +76,7 @@ WITH RECURSIVE worded AS (
                                     '[^\\x20\\x09-\\x0D]+') AS w FROM documents
 ), gathered AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM worded
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s FROM worded
 ), members AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS m FROM gathered
 ), links AS (
@@ -95,7 +95,7 @@ NEAR_VECTORS = """
 WITH RECURSIVE usable AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, v -> v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(embedding, v -> v <> 0)) > 0
+    AND len([v FOR v IN embedding IF v IS NULL OR NOT isfinite(v)]) = 0 AND len([v FOR v IN embedding IF v <> 0]) > 0
 ), links AS (
   SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
   ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93
