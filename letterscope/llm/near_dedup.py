@@ -5,12 +5,12 @@
    in which every sample flips one bit) and a 128-bit fingerprint of the set.
 2. Equal fingerprints are one class; the rest works on one member of a class.
 3. Documents that share a band key are candidates.  Within a band key only a
-   few pivots are compared with all members, and only if they are not yet in
-   one component.  Rounds use more pivots until every band key is settled, so
+   few pivots are compared with all members, the most central first, and only
+   if they are not yet in one component.  Rounds use more pivots until every band key is settled, so
    no link between components is lost and a group of like texts costs a
    comparison for each member instead of one for each pair.
 4. The odd sketches' exclusive-or population count throws out pairs that are
-   far too different; the full sets decide on the others.
+   too different already where they meet; the full sets decide on the others.
 
 With 25 bands of 5 samples, a pair at the threshold of 0.85 shares no band with
 probability below 5e-7; more alike pairs are missed even more rarely.
@@ -31,9 +31,10 @@ from letterscope.llm.textvec import frames, mix, shingles, words
 
 BANDS, ROWS, HASHES, BITS = 25, 5, 128, 512
 # A pair whose samples' bitmaps differ in more bits than this is not confirmed
-# any more.  At a similarity of 0.8 the count is 45 on average with a standard
-# deviation of about 8.
-FAR_APART = 120
+# any more.  At a similarity of 0.85 19 of the samples differ on average, with a
+# standard deviation of 4, and 35 bits; at 0.8 26, 4.5 and 46.  Either is beyond
+# 80 with a probability below 1e-5.
+FAR_APART = 80
 
 _GENERATOR = np.random.Generator(np.random.PCG64(20240607))
 _FACTOR = _GENERATOR.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -119,10 +120,6 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("node", "text").mapInPandas(run, "node binary, members array<long>")
 
 
-def _differing_bits(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
-
-
 class NearDuplicates:
     """Groups of near-duplicate documents, as two staged tables.
 
@@ -141,16 +138,19 @@ class NearDuplicates:
         chosen = self.classes.select("node", F.col("least.doc_id").alias("rep_id"), F.col("least.text_hash").alias("rep_hash"))
         is_chosen = F.col("rep_id").eqNullSafe(F.col("doc_id")) & (F.col("rep_hash") == F.col("text_hash"))
         distinct = nodes.join(chosen, "node").filter(is_chosen)
-        banded = Staged(distinct.select("node", F.explode("bands").alias("bucket")), "bands")
-        shared = banded.df.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first <> last")
-        members = Staged(banded.df.join(shared.select("bucket", "first"), "bucket").distinct(), "members")
+        banded = Staged(distinct.select("node", F.posexplode("bands").alias("band", "bucket")), "bands")
+        shared = banded.df.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
+        crowded = banded.df.join(shared.filter("low <> high").select("bucket", "n"), "bucket")
+        # The node that shares most band keys is the likeliest to be linked with the others.
+        central = crowded.groupBy("node").agg((-F.sum("n")).alias("outside"))
+        details = distinct.select("node", "bands", "sketch").join(central, "node").dropDuplicates(["node"])
+        members = Staged(crowded.drop("n").distinct().join(details, "node"), "members")
         banded.drop()
         involved = members.df.select("node").distinct()
         texts = self._texts(docs, chosen, involved)
         sets = Staged(_sets(texts, width), "sets")
-        sketched = Staged(distinct.join(involved, "node", "left_semi").select("node", "sketch").dropDuplicates(["node"]), "sketches")
-        self.labels = self._links(members.df, sketched.df, sets.df)
-        for staged in (members, sets, sketched):
+        self.labels = self._links(members.df, sets.df)
+        for staged in (members, sets):
             staged.drop()
 
     @staticmethod
@@ -162,24 +162,28 @@ class NearDuplicates:
             .select("node", "text").dropDuplicates(["node"])
         )
 
-    def _links(self, members: DataFrame, sketched: DataFrame, sets: DataFrame) -> Staged:
+    def _links(self, members: DataFrame, sets: DataFrame) -> Staged:
         """Components of the confirmed links between classes."""
-        pairs = members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-        confirmed = Staged(self._confirmed(pairs, sketched, sets), "links")
-        parts, edges = components(confirmed.df, "a", "b"), [confirmed]
+        middle = members.groupBy("bucket").agg(F.min(F.struct("outside", "node")).alias("least")).select("bucket", F.col("least.node").alias("node"))
+        pairs = self._pairs(members, members.join(middle, ["bucket", "node"], "left_semi"), F.lit(True))
+        edges = [Staged(self._confirmed(pairs, sets), "links")]
+        parts = components(edges[0].df, "a", "b")
         seen, more = 1, 8
         while True:
-            placed = members.join(parts.df, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+            placed = members.join(parts.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
             open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
             open_ = open_.filter((F.col("low") != F.col("high")) & (F.col("n") > seen)).select("bucket")
             unsettled = Staged(placed.join(open_, "bucket"), "unsettled")
             if unsettled.df.isEmpty():
                 unsettled.drop()
                 break
-            pairs = self._next_pairs(unsettled.df, seen, seen + more)
-            confirmed = Staged(self._confirmed(pairs, sketched, sets), "links")
+            # Ranks are limited inside each task first, so a hot band key does not gather in one.
+            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("outside", "node"))
+            ranked = unsettled.df.select("bucket", "outside", "node").withColumn("rank", rank).filter(F.col("rank") <= seen + more)
+            pivots = unsettled.df.join(ranked.filter(F.col("rank") > seen).select("bucket", "node"), ["bucket", "node"], "left_semi")
+            apart = F.col("root") != F.col("a_root")
+            edges.append(Staged(self._confirmed(self._pairs(unsettled.df, pivots, apart), sets), "links"))
             unsettled.drop()
-            edges.append(confirmed)
             every = edges[0].df
             for other in edges[1:]:
                 every = every.union(other.df)
@@ -191,34 +195,28 @@ class NearDuplicates:
         return parts
 
     @staticmethod
-    def _next_pairs(members: DataFrame, low: int, high: int) -> DataFrame:
-        """Members against the pivots of rank low+1 to high of their band key, other components only.
+    def _pairs(members: DataFrame, pivots: DataFrame, wanted: Column) -> DataFrame:
+        """Members against the pivots of their band key, where the odd sketches allow a link.
 
-        Ranks are limited inside each task first, so a hot band key does not
-        gather in one.
+        A pair counts in the first band key that both share only.
         """
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-        pivots = (
-            members.withColumn("rank", rank).filter(F.col("rank") <= high).filter(F.col("rank") > low)
-            .select("bucket", F.col("node").alias("a"), F.col("root").alias("a_root"))
-        )
+        named = pivots.select("bucket", *(F.col(c).alias(f"a_{c}") for c in pivots.columns if c not in ("bucket", "band")))
+        differing = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("a_sketch", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+        earlier = F.arrays_overlap(F.slice("bands", F.lit(1), F.col("band")), F.col("a_bands"))
+        met = wanted & (F.col("node") != F.col("a_node")) & (differing <= FAR_APART) & ~earlier
         return (
-            members.join(pivots, "bucket").filter("node > a and root <> a_root")
-            .select("a", F.col("node").alias("b")).distinct()
+            members.join(named, (members["bucket"] == named["bucket"]) & met)
+            .select(F.least("a_node", "node").alias("a"), F.greatest("a_node", "node").alias("b")).distinct()
         )
 
-    def _confirmed(self, pairs: DataFrame, sketched: DataFrame, sets: DataFrame) -> DataFrame:
-        def side(df: DataFrame, name: str) -> DataFrame:
-            return df.select(F.col("node").alias(name), F.col(df.columns[1]).alias(f"{name}_value"))
+    def _confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        def side(name: str) -> DataFrame:
+            return sets.select(F.col("node").alias(name), F.col("members").alias(f"{name}_set"))
 
-        near = (
-            pairs.join(side(sketched, "a"), "a").join(side(sketched, "b"), "b")
-            .filter(_differing_bits(F.col("a_value"), F.col("b_value")) <= FAR_APART).select("a", "b")
-        )
-        common = F.size(F.array_intersect("a_value", "b_value"))
-        union = F.size("a_value") + F.size("b_value") - common
+        common = F.size(F.array_intersect("a_set", "b_set"))
+        union = F.size("a_set") + F.size("b_set") - common
         return (
-            near.join(side(sets, "b"), "b").join(side(sets, "a"), "a")
+            pairs.join(side("b"), "b").join(side("a"), "a")
             .filter(100 * common >= self.percent * union).select("a", "b")
         )
 
