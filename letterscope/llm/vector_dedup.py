@@ -54,16 +54,16 @@ class Tables:
     """Rotations for one width, and the table keys they give."""
 
     def __init__(self, sample: np.ndarray, rotations: int = ROTATIONS, run: int = RUN):
-        self.mean = sample.mean(axis=0)
-        self.rotations = [learn_rotation(sample - self.mean, seed) for seed in range(rotations)]
+        # Not centred: where near copies dominate, their mean would take away what they share.
+        self.rotations = [learn_rotation(sample, seed) for seed in range(rotations)]
         self.run = min(run, sample.shape[1])
 
     def codes(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Packed bits of all rotations, and the value of every run (n, tables)."""
-        centred, bits, keys = vectors - self.mean, [], []
+        bits, keys = [], []
         weight = 1 << np.arange(self.run)
         for rotation in self.rotations:
-            signs = centred @ rotation > 0
+            signs = vectors @ rotation > 0
             bits.append(signs)
             for start in range(0, signs.shape[1] - self.run + 1, self.run):
                 keys.append(signs[:, start : start + self.run] @ weight)
@@ -211,8 +211,8 @@ def _class_links(classes: DataFrame, threshold: float, sample: int) -> Staged:
     def sift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Members of a block pair that are near another one of it in Hamming distance."""
         for batch in whole_groups(batches, "pair"):
-            codes = np.array([np.frombuffer(c, np.uint8) for c in batch["code"]]).view(np.uint16)
-            limit = FAR_SHARE * codes.shape[1] * 16
+            codes = np.array([np.frombuffer(c, np.uint8) for c in batch["code"]])
+            limit = FAR_SHARE * codes.shape[1] * 8
 
             def hit(i: np.ndarray, j: np.ndarray) -> np.ndarray:
                 return np.bitwise_count(codes[i] ^ codes[j]).sum(axis=1) <= limit  # noqa: B023
