@@ -485,7 +485,7 @@ def load_outcomes(spark, sf_dir):
 
 @query("discover", f"""WITH {KIND} SELECT event_id, epoch_us AS ts_us, smtp_command FROM k
     WHERE epoch_us BETWEEN epoch_us(TIMESTAMP '2024-01-05') AND epoch_us(TIMESTAMP '2024-01-20')
-    ORDER BY epoch_us DESC, event_id LIMIT 50000""")
+    ORDER BY epoch_us DESC, event_id""")
 def discover(spark, sf_dir):
     start, end = (F.lit(d).cast("timestamp") for d in ("2024-01-05", "2024-01-20"))
     found = reports.discover(classified(spark, sf_dir), "timestamp", start, end, "event_id")

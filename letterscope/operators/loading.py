@@ -120,4 +120,4 @@ def attachment_report(content: DataFrame) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    report.write.option("header", True).csv(path)
+    report.write.option("header", True).option("escape", '"').csv(path)

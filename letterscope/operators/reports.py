@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Fixed values -------------------------------------------------------------
 TOP = 10
-RESULT_WINDOW = 50000
 # --------------------------------------------------------------------------
 # Bucket widths an automatic timeline chooses from, in seconds (1 s ... 1 d).
 WIDTHS = [1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200, 86400]
@@ -80,12 +79,10 @@ def auto_timeline(df: DataFrame, time: str, target: int = 50) -> DataFrame:
     )
 
 
-def discover(df: DataFrame, time: str, start: Column, end: Column, *tie: str, n: int = RESULT_WINDOW) -> DataFrame:
-    """Newest rows of a time range, never more than the result window."""
-    return (
-        df.filter(F.col(time).between(start, end))
-        .orderBy(F.desc(time), *tie).limit(min(n, RESULT_WINDOW))
-    )
+def discover(df: DataFrame, time: str, start: Column, end: Column, *tie: str, n: int | None = None) -> DataFrame:
+    """Rows of a time range, newest first; with ``n``, only the first so many."""
+    found = df.filter(F.col(time).between(start, end)).orderBy(F.desc(time), *tie)
+    return found if n is None else found.limit(n)
 
 
 def has_attachments(attachments: Column | str) -> Column:
@@ -156,25 +153,24 @@ def attachment_id_counts(content: DataFrame) -> DataFrame:
     )
 
 
-def flag_counts(content: DataFrame, order: str, n: int = TOP) -> DataFrame:
-    """How often the flag is true or false among the first ``n`` files by name."""
+def flag_counts(content: DataFrame, order: str, n: int | None = None) -> DataFrame:
+    """How often the flag is true or false; with ``n``, among the first so many files by name."""
     flag = F.col("has_attachments")
-    return content.select(order, flag).orderBy(order).limit(n).agg(
+    files = content.select(order, flag)
+    return (files if n is None else files.orderBy(order).limit(n)).agg(
         F.count_if(flag.eqNullSafe(True)).alias("flag_true"),
         F.count_if(flag.eqNullSafe(False)).alias("flag_false"),
         F.count("*").alias("checked"),
     )
 
 
-def id_status(ids: DataFrame, content: DataFrame, max_broadcast: int = 1_000_000) -> DataFrame:
+def id_status(ids: DataFrame, content: DataFrame) -> DataFrame:
     """Each listed id with ``EXISTS`` or ``NOT FOUND`` among ids with attachments.
 
-    A list of known, bounded length filters the content first, so the join
-    carries no more ids than were asked for.
+    The list filters the content first, so the last join carries no more ids
+    than were asked for.
     """
-    wanted = ids.select("file_id").distinct()
-    small = wanted.limit(max_broadcast + 1).count() <= max_broadcast
-    keys = F.broadcast(wanted) if small else wanted
+    keys = ids.select("file_id").distinct()
     found = (
         content.filter(has_attachments("attachments") & (F.col("file_id") != 0))
         .select("file_id").join(keys, "file_id", "left_semi").distinct()

@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Fixed value: smaller files are artifacts, not messages.
-MIN_MESSAGE_BYTES = 50
-
 
 def read_messages(
-    spark: SparkSession, path: str | list[str], pattern: str | None = None, min_bytes: int = MIN_MESSAGE_BYTES
+    spark: SparkSession, path: str | list[str], pattern: str | None = None, min_bytes: int = 0
 ) -> DataFrame:
     """Message files as ``path, filename, file_size, content``.
 
-    ``pattern='*.eml'`` keeps one extension.  The size test is pushed into the
-    file listing, so small files are never opened.
+    ``pattern='*.eml'`` keeps one extension.  Smaller files than ``min_bytes`` go
+    (50 takes out artifacts); the test is pushed into the file listing, so they
+    are never opened.
     """
     reader = spark.read.format("binaryFile")
     if pattern:

@@ -22,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     made = tempfile.mkdtemp(prefix="letterscope-")
     spark.conf.set("spark.checkpoint.dir", made)

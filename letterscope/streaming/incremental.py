@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from letterscope.functions.text import strip
 from letterscope.operators.frames import classify_frames, clean_frames, traffic_documents
 from letterscope.sources.text_exports import split_ragged
 
@@ -21,7 +22,7 @@ def load_new_exports(
     ``progress`` is the stream's checkpoint folder; it remembers the files.
     """
     lines = spark.readStream.text(source)
-    rows = lines.filter(lines.value != ",".join(header)).filter("trim(value) != ''")
+    rows = lines.filter(lines.value != ",".join(header)).filter(strip("value") != "")
     documents = traffic_documents(classify_frames(clean_frames(rows.select(*split_ragged("value", header)))))
     return (
         documents.writeStream.format("parquet").option("path", table)

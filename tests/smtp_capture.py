@@ -1,22 +1,9 @@
-"""Queries over packet captures derived from ``documents``."""
+"""Packet captures of made-up SMTP sessions, for the tests of the capture reader."""
 
 from __future__ import annotations
 
 import struct
 
-import pyarrow as pa
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from letterscope.catalog.adapters import MESSAGES_SQL, messages
-from letterscope.catalog.letters import _FIRST, _key, first_form_view
-from letterscope.operators import mime, smtp_streams
-from letterscope.operators.frames import frame_records
-from letterscope.operators.reports import value_counts
-
-QUERIES = {}
-ORACLE = {}
-
 _CHUNK = 1400
 
 
@@ -80,50 +67,3 @@ def capture_file(doc_id: int, content: bytes) -> bytes:
         out.append(struct.pack("<IIIIIII", 6, size, 0, stamp >> 32, stamp & 0xFFFFFFFF, len(f), len(f))
                    + f + b"\0" * pad + struct.pack("<I", size))
     return b"".join(out)
-
-
-@F.arrow_udf(T.BinaryType())
-def _capture(ids: pa.Array, contents: pa.Array) -> pa.Array:
-    return pa.array([capture_file(i, c) for i, c in zip(ids.to_pylist(), contents.to_pylist())], pa.binary())
-
-
-def captures(spark, sf_dir):
-    """Every document's message as one captured SMTP session."""
-    mail = messages(spark, sf_dir)
-    return mail.select(F.concat("path", F.lit(".pcap")).alias("path"), _capture("doc_id", "content").alias("content"))
-
-
-def segments(spark, sf_dir):
-    return smtp_streams.placed_segments(captures(spark, sf_dir))
-
-
-_CRLF_SQL = f"""m AS (SELECT * REPLACE (replace(page, chr(10), chr(13) || chr(10)) AS page),
-    replace(text, chr(10), chr(13) || chr(10)) AS sent FROM ({MESSAGES_SQL}))"""
-ORACLE["capture_messages"] = f"WITH {_CRLF_SQL} SELECT {_FIRST.replace('trim(text,', 'trim(sent,')} FROM m"
-
-
-def capture_messages(spark, sf_dir):
-    found = smtp_streams.captured_messages(segments(spark, sf_dir)).filter("complete")
-    spread = found.select("session", "content").repartition(spark.sparkContext.defaultParallelism)
-    return first_form_view(mime.parse_messages(spread).withColumn("doc_id", _key("message_id")))
-
-
-ORACLE["capture_frames"] = """WITH n AS (SELECT count(*) AS n FROM documents)
-    SELECT unnest(['EHLO', 'MAIL', 'RCPT', 'DATA', 'QUIT']) AS smtp_req_command, n FROM n"""
-
-
-def capture_frames(spark, sf_dir):
-    frames = frame_records(smtp_streams.captured_frames(segments(spark, sf_dir)))
-    return value_counts(frames, "smtp_req_command")
-
-
-ORACLE["capture_replies"] = """WITH n AS (SELECT count(*) AS n FROM documents)
-    SELECT unnest([220, 221, 250, 354]) AS smtp_response_code, unnest([n, n, 4 * n, n]) AS n FROM n"""
-
-
-def capture_replies(spark, sf_dir):
-    frames = frame_records(smtp_streams.captured_frames(segments(spark, sf_dir)))
-    return value_counts(frames, "smtp_response_code")
-
-
-QUERIES.update(capture_messages=capture_messages, capture_frames=capture_frames, capture_replies=capture_replies)

@@ -1,9 +1,9 @@
 import pytest
 
-from letterscope.catalog.wire import capture_file, conversation
 from letterscope.operators import smtp_streams
 from letterscope.operators.frames import frame_records
 from letterscope.sources.captures import packets_of
+from smtp_capture import capture_file, conversation
 
 MAIL = b"Subject: s\r\n\r\n" + b".dot\r\n354 not a reply\r\nMAIL FROM:<not a command>\r\n" + b"x" * 5000 + b"\r\n. \r\n"
 

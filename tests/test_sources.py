@@ -98,11 +98,11 @@ def test_message_files(spark, tmp_path):
     write(tmp_path / "one.eml", mail)
     write(tmp_path / "two", mail)
     write(tmp_path / "small.eml", "Subject: s\r\n\r\n")
-    assert {r["filename"] for r in documents.read_messages(spark, str(tmp_path)).collect()} == {"one.eml", "two"}
+    assert {r["filename"] for r in documents.read_messages(spark, str(tmp_path), min_bytes=50).collect()} == {"one.eml", "two"}
     rows = pipelines.content_from_files(spark, str(tmp_path)).orderBy("file_id").collect()
     assert [(r["file_id"], r["filename"]) for r in rows] == [(0, "one.eml"), (1, "small.eml")]
     assert rows[0]["email_hash"] and rows[1]["body"]["text"] == "" and not rows[1]["has_attachments"]
-    plan = documents.read_messages(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    plan = documents.read_messages(spark, str(tmp_path), min_bytes=50)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(length,50)" in plan
 
 
