@@ -34,12 +34,21 @@ def labelled_ids(labels: DataFrame, column: str, per_class: int, seed: int = 1)
     """Up to ``per_class`` doc_ids of each value of ``column``, chosen by hash: (doc_id, label).
 
     One row for each labelled id; an id with contradicting labels keeps the
-    larger one.  The ranking is cut inside every task before rows move.
+    larger one.  ``column`` has few different values.  Hashes beyond a limit
+    that the first ``per_class`` of a class stay below are left out before rows
+    move, so the ranking reads about ``per_class`` ids of each class.
     """
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
-    return (
+    ids = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(column).isNotNull())
         .groupBy("doc_id").agg(F.max(column).alias("label"))
+    )
+    # More than enough: ten standard deviations above ``per_class``.
+    share = F.least(F.lit(1.0), F.lit(per_class + 10 * per_class**0.5 + 20) / F.count("*"))
+    limits = ids.groupBy("label").agg((share * F.lit(2.0**64) - F.lit(2.0**63)).alias("__limit"))
+    by_hash = Window.partitionBy("label").orderBy("__hash", "doc_id")
+    return (
+        ids.withColumn("__hash", F.xxhash64("doc_id", F.lit(seed))).join(F.broadcast(limits), "label")
+        .filter(F.col("__hash").cast("double") <= F.col("__limit"))
         .withColumn("__rank", F.row_number().over(by_hash))
         .filter(F.col("__rank") <= per_class)
         .select("doc_id", "label")
