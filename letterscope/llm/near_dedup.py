@@ -18,6 +18,7 @@ probability below 5e-7; more alike pairs are missed even more rarely.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,18 +30,27 @@ from letterscope.llm.common import Staged
 from letterscope.llm.components import components
 from letterscope.llm.textvec import frames, mix, shingles, words
 
-BANDS, ROWS, HASHES, BITS = 25, 5, 128, 512
-# A pair whose samples' bitmaps differ in more bits than this is not confirmed
-# any more.  At a similarity of 0.85 19 of the samples differ on average, with a
-# standard deviation of 4, and 35 bits; at 0.8 26, 4.5 and 46.  Either is beyond
-# 80 with a probability below 1e-5.
-FAR_APART = 80
+BANDS, ROWS, HASHES, BITS = 25, 5, 512, 2048
 
 _GENERATOR = np.random.Generator(np.random.PCG64(20240607))
 _FACTOR = _GENERATOR.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
 _SHIFT = _GENERATOR.integers(0, 2**32, HASHES, dtype=np.uint32)
 
 
+def far_apart(percent: int) -> int:
+    """Differing bits that two sketches of ``percent`` similarity exceed with a probability below 1e-5.
+
+    That is 4.5 standard deviations above the mean: 209 bits at 85 and 257 at 80,
+    while pairs of 75 differ in 226 bits on average and pairs of 70 in 265.
+    """
+    unlike = 1 - percent / 100
+    kept_odd = math.exp(-4 * HASHES * unlike / BITS)  # of the flips, two for each sample that differs
+    flips = 2 * HASHES * unlike
+    from_samples = (2 * kept_odd) ** 2 * HASHES * unlike * (1 - unlike)
+    from_places = BITS * (1 - kept_odd**2) / 4 - flips * kept_odd**2
+    return math.ceil(BITS / 2 * (1 - kept_odd) + 4.5 * math.sqrt(from_samples + max(from_places, 0)))
+
+
 def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all texts end to end, and where each set begins.
 
@@ -81,10 +91,16 @@ def sketches(flat: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
             for j in range(b * ROWS, (b + 1) * ROWS):
                 key = mix(key + least[:, j], 31)
             keys[:, b] = key
+    bits = np.concatenate([_odd(least[i : i + 500]) for i in range(0, n, 500)])
+    return prints, keys, bits.view(np.uint64)
+
+
+def _odd(least: np.ndarray) -> np.ndarray:
+    """One bitmap for each row of samples; every sample flips the bit at its place."""
+    n = len(least)
     place = mix(least.astype(np.uint64) | (np.arange(HASHES, dtype=np.uint64) << np.uint64(32)), 41) % np.uint64(BITS)
     flips = np.bincount((np.arange(n)[:, None] * BITS + place.astype(np.int64)).ravel(), minlength=n * BITS)
-    bits = np.packbits((flips & 1).astype(np.uint8).reshape(n, BITS), axis=1)
-    return prints, keys, bits.view(np.uint64)
+    return np.packbits((flips & 1).astype(np.uint8).reshape(n, BITS), axis=1)
 
 
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -194,8 +210,7 @@ class NearDuplicates:
             staged.drop()
         return parts
 
-    @staticmethod
-    def _pairs(members: DataFrame, pivots: DataFrame, wanted: Column) -> DataFrame:
+    def _pairs(self, members: DataFrame, pivots: DataFrame, wanted: Column) -> DataFrame:
         """Members against the pivots of their band key, where the odd sketches allow a link.
 
         A pair counts in the first band key that both share only.
@@ -203,7 +218,7 @@ class NearDuplicates:
         named = pivots.select("bucket", *(F.col(c).alias(f"a_{c}") for c in pivots.columns if c not in ("bucket", "band")))
         differing = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("a_sketch", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
         earlier = F.arrays_overlap(F.slice("bands", F.lit(1), F.col("band")), F.col("a_bands"))
-        met = wanted & (F.col("node") != F.col("a_node")) & (differing <= FAR_APART) & ~earlier
+        met = wanted & (F.col("node") != F.col("a_node")) & (differing <= far_apart(self.percent)) & ~earlier
         return (
             members.join(named, (members["bucket"] == named["bucket"]) & met)
             .select(F.least("a_node", "node").alias("a"), F.greatest("a_node", "node").alias("b")).distinct()
