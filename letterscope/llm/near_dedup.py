@@ -184,7 +184,7 @@ class NearDuplicates:
         pairs = self._pairs(members, members.join(middle, ["bucket", "node"], "left_semi"), F.lit(True))
         edges = [Staged(self._confirmed(pairs, sets), "links")]
         parts = components(edges[0].df, "a", "b")
-        seen, more = 1, 8
+        seen, more = 1, 128
         while True:
             placed = members.join(parts.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
             open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
@@ -205,7 +205,7 @@ class NearDuplicates:
                 every = every.union(other.df)
             parts.drop()
             parts = components(every, "a", "b")
-            seen, more = seen + more, more * 8
+            seen, more = seen + more, more * 32
         for staged in edges:
             staged.drop()
         return parts
