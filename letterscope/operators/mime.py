@@ -35,9 +35,12 @@ _PART = (
     "text: string, utf8_text: string>"
 )
 TAKEN_APART = (
-    "problem string, multipart boolean, content_type string, subject string, raw_subject string, "
+    "problem string, unreadable array<string>, multipart boolean, content_type string, subject string, raw_subject string, "
     f"headers array<struct<name: string, value: string>>, header_map map<string,string>, parts array<{_PART}>"
 )
+# Headers the first form shows; others may be unreadable without harm.
+SHOWN = ("message-id", "date", "from", "to", "cc", "bcc", "subject")
+# Fixed value: the base64 alphabet, padding and line end.
 BASE64_TEXT = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=\n")
 
 
@@ -138,9 +141,25 @@ def _part(part, leaf: int | None, body_candidate: bool, again: bool) -> dict:
     return row
 
 
+def read_headers(message) -> tuple[list[tuple[str, str]], list[str]]:
+    """Every header's name and text, and the lower-case names of those that do not parse.
+
+    A header that does not parse keeps its raw text, unfolded.
+    """
+    headers, unreadable = [], []
+    for name, raw in message.raw_items():
+        try:
+            value = message.policy.header_fetch_parse(name, raw)
+        except Exception:
+            unreadable.append(sound(name.lower()))
+            value = " ".join(str(raw).split())
+        headers.append((sound(name), sound(value)))
+    return headers, unreadable
+
+
 def take_apart(content: bytes, again: bool) -> dict:
     message = BytesParser(policy=RememberingPolicy()).parsebytes(content)
-    headers = [(sound(k), sound(v)) for k, v in message.items()]
+    headers, unreadable = read_headers(message)
     multipart = message.is_multipart()
     parts, leaves = [], 0
     for part in message.walk():
@@ -149,7 +168,7 @@ def take_apart(content: bytes, again: bool) -> dict:
         parts.append(_part(part, None if container else leaves, not multipart, again))
     subject = next((v for k, v in headers if k.lower() == "subject"), "")
     return {
-        "multipart": multipart, "content_type": message.get_content_type(),
+        "unreadable": unreadable, "multipart": multipart, "content_type": message.get_content_type(),
         "subject": sound(decode_words(subject)), "raw_subject": sound(decode_subject(subject)),
         "headers": [{"name": k, "value": v} for k, v in headers], "header_map": list(dict(headers).items()),
         "parts": parts,
@@ -168,8 +187,12 @@ def _taker(again: bool):
     def run(contents: pa.Array) -> pa.Array:
         rows = []
         for item in contents:
+            content = item.as_py()
+            if content is None:
+                rows.append({"problem": "no content"})
+                continue
             try:
-                rows.append(take_apart(item.as_py() or b"", again))
+                rows.append(take_apart(content, again))
             except Exception as error:
                 rows.append({"problem": sound(f"{type(error).__name__}: {error}")})
         return pa.array(rows, returned)
@@ -185,6 +208,12 @@ def with_parts(messages: DataFrame, base64_pass: bool = False) -> DataFrame:
     return messages.select(*others, _taker(base64_pass)("content").alias("mime"))
 
 
+def _problem(unreadable: Column) -> Column:
+    """Why a message counts as failed: it could not be taken apart, or one of ``unreadable`` headers is needed."""
+    names = F.concat(F.lit("unreadable header: "), F.array_join(F.sort_array(F.array_distinct(unreadable)), ", "))
+    return F.coalesce("mime.problem", F.when(F.size(unreadable) > 0, names))
+
+
 def _values(name: str) -> Column:
     found = F.filter("mime.headers", lambda h: F.lower(h["name"]) == name.lower())
     return F.transform(found, lambda h: h["value"])
@@ -209,7 +238,11 @@ def _plain_body(part: Column) -> Column:
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """First form.  Keeps the key columns, adds the message record and ``parse_error``."""
+    """First form.  Keeps the key columns, adds the message record and ``parse_error``.
+
+    A message fails if it has no content or cannot be taken apart, or if a header
+    shown here does not parse; its other fields are given as far as they were read.
+    """
     keys = [c for c in messages.columns if c != "content"]
     df = with_parts(messages)
     leaves = F.filter("mime.parts", lambda p: p["leaf"].isNotNull())
@@ -233,7 +266,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     attached = F.transform(F.filter(leaves, lambda p: ~_plain_body(p)), attachment)
     return df.select(
         *keys,
-        F.col("mime.problem").alias("parse_error"),
+        _problem(F.array_intersect("mime.unreadable", F.array(*[F.lit(h) for h in SHOWN]))).alias("parse_error"),
         _first("Message-ID").alias("message_id"),
         _first("Date").alias("date"),
         _values("From").alias("from"), _values("To").alias("to"),
@@ -248,7 +281,8 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 def parse_content(messages: DataFrame, base64_pass: bool = False) -> DataFrame:
     """Second form.  Needs ``file_id, filename, file_size`` beside the content.
 
-    A named attached message becomes an attachment of unknown size.
+    A named attached message becomes an attachment of unknown size.  This form
+    shows all headers, so one that does not parse fails the message.
     """
     df = with_parts(messages, base64_pass)
     multipart = F.col("mime.multipart")
@@ -289,13 +323,14 @@ def parse_content(messages: DataFrame, base64_pass: bool = False) -> DataFrame:
         text("Content-Transfer-Encoding").alias("content_transfer_encoding"),
         text("MIME-Version").alias("mime_version"), _values("Received").alias("received"),
     )
-    parsed = F.col("mime.problem").isNull()
+    problem = _problem(F.col("mime.unreadable"))
+    parsed = problem.isNull()
     empty = F.array().cast("array<struct<filename:string,content_type:string,size:bigint,md5:string,sha256:string>>")
     others = [c for c in messages.columns if c not in ("content", "file_id", "filename", "file_size")]
     return df.select(
         *others, "file_id", "filename", "file_size",
-        F.col("mime.problem").alias("parse_error"),
-        F.col("mime.header_map").alias("headers"),
+        problem.alias("parse_error"),
+        F.when(parsed, F.col("mime.header_map")).alias("headers"),
         F.when(parsed, F.struct(raw_text.alias("text"), raw_html.alias("html"))).alias("raw_body"),
         F.when(parsed, metadata).alias("metadata"),
         F.when(parsed, F.when(multipart, attached).otherwise(empty)).alias("attachments"),

@@ -122,6 +122,23 @@ def test_unreadable_message_is_reported(spark):
     broken = b"From: a\r\nContent-Type: multipart/mixed; boundary=\"B\"\r\nDate: x\r\n\r\n\xff\xfe"
     df = spark.createDataFrame([(bytearray(broken),), (None,)], "content binary")
     assert mime.parse_messages(df).count() == 2
+    assert [r["parse_error"] for r in mime.parse_messages(df.filter("content is null")).collect()] == ["no content"]
+
+
+def test_unreadable_headers_fail_only_the_forms_that_show_them(spark):
+    tail = "Subject: kept\r\n\r\nhello"
+    mails = {"reply": f"{HEAD}Reply-To: <a@[b\r\n{tail}", "cc": f"{HEAD}Cc: <a@[b\r\n{tail}", "good": HEAD + tail}
+    df = spark.createDataFrame(
+        [(n, n, len(t), 1, bytearray(t.encode())) for n, t in mails.items()],
+        "name string, filename string, file_size bigint, file_id bigint, content binary")
+    first = {r["name"]: r for r in mime.parse_messages(df).collect()}
+    second = {r["name"]: r for r in mime.parse_content(df).collect()}
+    assert {n: r["parse_error"] for n, r in first.items()} == {
+        "reply": None, "cc": "unreadable header: cc", "good": None}
+    assert (first["reply"]["subject"], first["reply"]["body_text"]) == ("kept", "hello")
+    assert {n: r["parse_error"] for n, r in second.items()} == {
+        "reply": "unreadable header: reply-to", "cc": "unreadable header: cc", "good": None}
+    assert second["reply"]["headers"] is None and second["good"]["headers"]["Subject"] == "kept"
 
 
 def test_messages_are_parsed_once(mails):
