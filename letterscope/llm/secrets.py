@@ -3,8 +3,11 @@
 Identifiers, secrets and endpoints are found by pattern.  Assignments, access
 keys and long hexadecimal runs stand on their own.  Logins, opaque strings and
 endpoints are weak: each is reported only if complementary parts of the same
-document lie within ``REACH`` characters of it.  That interval join is a sweep
-over the parts of a document in order of position, so it writes no pairs.
+document lie within ``REACH`` characters of it, from the end of the earlier to
+the start of the later.  Opaque strings that follow one another (see
+``FOLLOWS``) are one block, reported whole or not at all.  That interval join
+is a sweep over the parts of a document in order of position, so it writes no
+pairs.
 
 Only parts move between tasks, not texts.
 """
@@ -17,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 REACH = 512
+# Between two opaque strings of a block: white space, or up to ``REACH`` characters with at most one line break.
+BLANK, FOLLOWS = "\\A\\s*+\\z", "\\A[^\\r\\n]*+(?:\\r\\n?|\\n)?+[^\\r\\n]*+\\z"
 
 
 @dataclass(frozen=True)
@@ -52,8 +57,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"__text": text, "__hash": F.xxhash64(text), "__length": F.length(text)})
 
 
-def _parts(docs: DataFrame) -> DataFrame:
-    """(key, kind, start, end, weak): all matches that are long enough, by code points."""
+def _parts(docs: DataFrame, reach: int) -> DataFrame:
+    """(key, kind, run, start, end, weak): all matches that are long enough, by code points.
+
+    Opaque strings of one block have the same ``run``, other parts one each.
+    """
     keyed = _keyed(docs.select("doc_id", "text"))
     text = F.col("__text")
     for k in KINDS:
@@ -71,17 +79,21 @@ def _parts(docs: DataFrame) -> DataFrame:
             good = F.length(value) >= k.least
             if k.name == "opaque":
                 good = good & match.rlike("[0-9]") & match.rlike("[A-Za-z]")
-            return F.struct(F.lit(i).alias("kind"), at.alias("at"), F.length(F.get(f"__gaps_{k.name}", at)).alias("gap"),
-                            F.length(match).alias("length"), good.alias("good"))
+            gap, follows = F.get(f"__gaps_{k.name}", at), F.lit(False)
+            if k.name == "opaque":
+                follows = (at > 0) & (gap.rlike(BLANK) | ((F.length(gap) <= reach) & gap.rlike(FOLLOWS)))
+            return F.struct(F.lit(i).alias("kind"), at.alias("at"), F.length(gap).alias("gap"),
+                            F.length(match).alias("length"), good.alias("good"), follows.alias("follows"))
 
-        return F.coalesce(F.transform(k.name, item), F.array().cast("array<struct<kind:int,at:int,gap:int,length:int,good:boolean>>"))
+        return F.coalesce(F.transform(k.name, item), F.array().cast("array<struct<kind:int,at:int,gap:int,length:int,good:boolean,follows:boolean>>"))
 
     every = hit.select(*KEY, F.inline(F.concat(*(items(i, k) for i, k in enumerate(KINDS))))).dropDuplicates([*KEY, "kind", "at"])
     so_far = Window.partitionBy(*KEY, "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("length")).over(so_far)
+    run = F.sum(F.when(F.col("follows"), 0).otherwise(1)).over(so_far)
     return (
-        every.withColumn("end", end.cast("long")).filter("good")
-        .select(*KEY, "kind", (F.col("end") - F.col("length")).alias("start"), "end", (~F.col("kind").isin(BASE)).alias("weak"))
+        every.withColumns({"end": end.cast("long"), "run": run}).filter("good")
+        .select(*KEY, "kind", "run", (F.col("end") - F.col("length")).alias("start"), "end", (~F.col("kind").isin(BASE)).alias("weak"))
     )
 
 
@@ -94,7 +106,8 @@ def spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
     A weak part that overlaps a base span is that span and not reported again.
     A login needs a secret within ``reach``, an opaque string an identifier, and
-    an endpoint both; distances are between starts.
+    an endpoint both; distances are from the end of the earlier part to the
+    start of the later.  A block of opaque strings counts as one part.
     """
     by_start = Window.partitionBy(*KEY).orderBy("start")
     back = by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -104,14 +117,18 @@ def spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
         (F.coalesce(F.max(F.when(base, F.col("end"))).over(back), F.lit(0)) > F.col("start"))
         | F.coalesce(F.min(F.when(base, F.col("start"))).over(ahead) < F.col("end"), F.lit(False))
     )
-    alone = _parts(docs).withColumn("same", overlaps).filter(base | ~F.col("same")).drop("same")
+    alone = _parts(docs, reach).withColumn("same", overlaps).filter(base | ~F.col("same")).drop("same")
+    block = Window.partitionBy(*KEY, "kind", "run")
+    blocks = alone.withColumns({"first": F.min("start").over(block), "last": F.max("end").over(block)})
 
     def near(role: str) -> Column:
-        at = F.when(_role(role), F.col("start"))
-        return (F.coalesce(F.col("start") - F.max(at).over(back) <= reach, F.lit(False))
-                | F.coalesce(F.min(at).over(ahead) - F.col("start") <= reach, F.lit(False)))
+        before = F.max(F.when(_role(role), F.col("last"))).over(back)
+        after = F.min(F.when(_role(role), F.col("first"))).over(ahead)
+        return (F.coalesce(F.col("first") - before <= reach, F.lit(False))
+                | F.coalesce(after - F.col("last") <= reach, F.lit(False)))
 
-    linked = alone.withColumns({"identifier": near("identifier"), "secret": near("secret")})
+    roles = ("identifier", "secret")
+    linked = blocks.withColumns({r: near(r) for r in roles}).withColumns({r: F.max(r).over(block) for r in roles})
     complete = (
         F.when(_role("identifier"), F.col("secret")).when(_role("secret"), F.col("identifier"))
         .otherwise(F.col("identifier") & F.col("secret"))
