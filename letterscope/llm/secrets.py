@@ -4,7 +4,8 @@ Identifiers, secrets and endpoints are found by pattern.  Assignments, access
 keys and long hexadecimal runs stand on their own.  Logins, opaque strings and
 endpoints are weak: each is reported only if complementary parts of the same
 document lie within ``REACH`` characters of it, from the end of the earlier to
-the start of the later.  Opaque strings that follow one another (see
+the start of the later.  Parts whose values overlap are the same characters
+and do not complement each other.  Opaque strings that follow one another (see
 ``FOLLOWS``) are one block, reported whole or not at all.  That interval join
 is a sweep over the parts of a document in order of position, so it writes no
 pairs.
@@ -26,7 +27,11 @@ BLANK, FOLLOWS = "\\A\\s*+\\z", "\\A[^\\r\\n]*+(?:\\r\\n?|\\n)?+[^\\r\\n]*+\\z"
 
 @dataclass(frozen=True)
 class Kind:
-    """``value`` is the group whose length must reach ``least``; 0 is the whole match."""
+    """``value`` is the group whose length must reach ``least``; 0 is the whole match.
+
+    ``own`` finds what a match holds besides its label (for an endpoint, its host), at
+    one end of the match; without it, that is the value.
+    """
 
     name: str
     pattern: str
@@ -35,6 +40,7 @@ class Kind:
     role: str
     weak: bool = False
     hint: str | None = None  # a string that every match contains
+    own: str | None = None
 
 
 # The patterns of the first three kinds.  A short run of the second
@@ -43,12 +49,13 @@ KINDS = (
     Kind("assign", "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6, "secret"),
     Kind("access", "AKIA[A-Z0-9]{16,}", 0, 20, "identifier", hint="AKIA"),
     Kind("hex", "[0-9a-f]{24,}", 0, 24, "secret"),
-    Kind("login", "(?i)(?:client|account|user|key)[_-]?id[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9._@-]+", 0, 8, "identifier", True),
+    Kind("login", "(?i)(?:client|account|user|key)[_-]?id[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9._@-]+", 0, 8, "identifier", True, own="[A-Za-z0-9._@-]+\\z"),
     Kind("opaque", "[A-Za-z0-9+/_-]{32,}", 0, 32, "secret", True),
-    Kind("endpoint", "https?://[^\\x20\\x09-\\x0D\"'<>]+", 0, 11, "endpoint", True, hint="://"),
+    Kind("endpoint", "https?://[^\\x20\\x09-\\x0D\"'<>]+", 0, 11, "endpoint", True, hint="://", own="\\Ahttps?://[^/?#]*"),
 )
 NAMES = [k.name for k in KINDS]
 BASE = [i for i, k in enumerate(KINDS) if not k.weak]
+WEAK = [i for i, k in enumerate(KINDS) if k.weak]
 KEY = ["doc_id", "__hash", "__length"]
 
 
@@ -58,9 +65,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _parts(docs: DataFrame, reach: int) -> DataFrame:
-    """(key, kind, run, start, end, weak): all matches that are long enough, by code points.
+    """(key, kind, run, start, end, own, own_end, weak): all matches that are long enough, by code points.
 
     Opaque strings of one block have the same ``run``, other parts one each.
+    The part's value lies from ``own`` to ``own_end``.
     """
     keyed = _keyed(docs.select("doc_id", "text"))
     text = F.col("__text")
@@ -79,21 +87,27 @@ def _parts(docs: DataFrame, reach: int) -> DataFrame:
             good = F.length(value) >= k.least
             if k.name == "opaque":
                 good = good & match.rlike("[0-9]") & match.rlike("[A-Za-z]")
+            own = F.length(F.regexp_extract(match, k.own, 0) if k.own else value)
+            skip = F.lit(0) if k.role == "endpoint" else F.length(match) - own
             gap, follows = F.get(f"__gaps_{k.name}", at), F.lit(False)
             if k.name == "opaque":
                 follows = (at > 0) & (gap.rlike(BLANK) | ((F.length(gap) <= reach) & gap.rlike(FOLLOWS)))
             return F.struct(F.lit(i).alias("kind"), at.alias("at"), F.length(gap).alias("gap"),
-                            F.length(match).alias("length"), good.alias("good"), follows.alias("follows"))
+                            F.length(match).alias("length"), good.alias("good"), follows.alias("follows"),
+                            skip.alias("skip"), own.alias("held"))
 
-        return F.coalesce(F.transform(k.name, item), F.array().cast("array<struct<kind:int,at:int,gap:int,length:int,good:boolean,follows:boolean>>"))
+        return F.coalesce(F.transform(k.name, item), F.array().cast(
+            "array<struct<kind:int,at:int,gap:int,length:int,good:boolean,follows:boolean,skip:int,held:int>>"))
 
     every = hit.select(*KEY, F.inline(F.concat(*(items(i, k) for i, k in enumerate(KINDS))))).dropDuplicates([*KEY, "kind", "at"])
     so_far = Window.partitionBy(*KEY, "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("length")).over(so_far)
     run = F.sum(F.when(F.col("follows"), 0).otherwise(1)).over(so_far)
+    start = F.col("end") - F.col("length")
     return (
         every.withColumns({"end": end.cast("long"), "run": run}).filter("good")
-        .select(*KEY, "kind", "run", (F.col("end") - F.col("length")).alias("start"), "end", (~F.col("kind").isin(BASE)).alias("weak"))
+        .select(*KEY, "kind", "run", start.alias("start"), "end", (start + F.col("skip")).alias("own"),
+                (start + F.col("skip") + F.col("held")).alias("own_end"), (~F.col("kind").isin(BASE)).alias("weak"))
     )
 
 
@@ -104,36 +118,62 @@ def _role(role: str) -> Column:
 def spans(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """(key, kind, start, end, weak) of the reported spans.
 
-    A weak part that overlaps a base span is that span and not reported again.
     A login needs a secret within ``reach``, an opaque string an identifier, and
     an endpoint both; distances are from the end of the earlier part to the
-    start of the later.  A block of opaque strings counts as one part.
+    start of the later.  A block of opaque strings counts as one part.  Parts
+    count for each other only if their values do not overlap.  Of a weak part
+    that overlaps base spans, what they leave uncovered is reported.
     """
-    by_start = Window.partitionBy(*KEY).orderBy("start")
-    back = by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = by_start.rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    base = ~F.col("weak")
-    overlaps = (
-        (F.coalesce(F.max(F.when(base, F.col("end"))).over(back), F.lit(0)) > F.col("start"))
-        | F.coalesce(F.min(F.when(base, F.col("start"))).over(ahead) < F.col("end"), F.lit(False))
-    )
-    alone = _parts(docs, reach).withColumn("same", overlaps).filter(base | ~F.col("same")).drop("same")
     block = Window.partitionBy(*KEY, "kind", "run")
-    blocks = alone.withColumns({"first": F.min("start").over(block), "last": F.max("end").over(block)})
+    blocks = _parts(docs, reach).withColumns({"first": F.min("start").over(block), "last": F.max("end").over(block)})
+    # Two points for each part: where its value begins, and where it ends.
+    points = blocks.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("opens")).withColumn(
+        "at", F.when(F.col("opens"), F.col("own")).otherwise(F.col("own_end")))
+    by_place = Window.partitionBy(*KEY).orderBy("at")
+    back = by_place.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = by_place.rangeBetween(Window.currentRow, Window.unboundedFollowing)
 
     def near(role: str) -> Column:
-        before = F.max(F.when(_role(role), F.col("last"))).over(back)
-        after = F.min(F.when(_role(role), F.col("first"))).over(ahead)
-        return (F.coalesce(F.col("first") - before <= reach, F.lit(False))
-                | F.coalesce(after - F.col("last") <= reach, F.lit(False)))
+        """Values that end before this one begins, and such that begin after it ends."""
+        before = F.max(F.when(_role(role) & ~F.col("opens"), F.col("last"))).over(back)
+        after = F.min(F.when(_role(role) & F.col("opens"), F.col("first"))).over(ahead)
+        gap = F.when(F.col("opens"), F.col("first") - before).otherwise(after - F.col("last"))
+        return F.coalesce(gap <= reach, F.lit(False))
 
     roles = ("identifier", "secret")
-    linked = blocks.withColumns({r: near(r) for r in roles}).withColumns({r: F.max(r).over(block) for r in roles})
+    linked = points.withColumns({r: near(r) for r in roles}).withColumns({r: F.max(r).over(block) for r in roles})
     complete = (
         F.when(_role("identifier"), F.col("secret")).when(_role("secret"), F.col("identifier"))
         .otherwise(F.col("identifier") & F.col("secret"))
     )
-    return linked.filter(base | complete).select(*KEY, "kind", "start", "end", "weak")
+    return _uncovered(linked.filter(F.col("opens") & (~F.col("weak") | complete)).select(*KEY, "kind", "start", "end", "weak"))
+
+
+def _uncovered(found: DataFrame) -> DataFrame:
+    """``found`` with every weak span cut to what no base span covers, in as many pieces as that leaves.
+
+    Spans of one weak kind do not overlap, so each kind is swept by itself: a
+    piece begins where a weak span begins or a base span ends, and goes on to
+    the next base span or the end.
+    """
+    swept = F.when(F.col("weak"), F.array("kind")).otherwise(F.array(*map(F.lit, WEAK)))
+    points = found.withColumn("swept", F.explode(swept)).withColumn(
+        "opens", F.explode(F.when(F.col("weak"), F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False)))))
+    points = points.withColumn("at", F.when(F.col("opens"), F.col("start")).otherwise(F.col("end")))
+    by_place = Window.partitionBy(*KEY, "swept").orderBy("at")
+    back = by_place.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    begun = ~F.col("weak") & F.col("opens")
+    seen = points.withColumns({
+        "covered": F.max(F.when(begun, F.col("end"))).over(back),
+        "within": F.max(F.when(F.col("weak"), F.struct("start", "end"))).over(back),
+        "next": F.min(F.when(begun, F.col("start"))).over(by_place.rangeBetween(1, Window.unboundedFollowing)),
+    })
+    piece = ~begun & (F.col("at") < F.col("within.end")) & F.coalesce(F.col("covered") <= F.col("at"), F.lit(True))
+    whole = begun & (F.col("swept") == WEAK[0])
+    return seen.filter(piece | whole).select(
+        *KEY, F.when(begun, F.col("kind")).otherwise(F.col("swept")).alias("kind"), F.col("at").alias("start"),
+        F.when(begun, F.col("end")).otherwise(F.least("within.end", "next")).alias("end"), (~begun).alias("weak"),
+    ).dropDuplicates([*KEY, "kind", "start"])
 
 
 def _printed(only_base: bool) -> Column:
