@@ -248,6 +248,20 @@ class NearDuplicates:
                     F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "text_hash")
         )
 
+    def firsts(self) -> DataFrame:
+        """(doc_id, text_hash) of one document of each group and of all without words, each once.
+
+        Groups are told by their sets, so null and repeated ids do not matter;
+        the smallest id comes first, a null one last.
+        """
+        rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+        by_class = self.documents.filter("node is not null").groupBy("node").agg(F.min(rank).alias("first"))
+        by_group = (
+            by_class.join(self.labels.df, "node", "left").groupBy(F.coalesce("root", "node").alias("root"))
+            .agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
+        )
+        return by_group.union(self.documents.filter("node is null").select("doc_id", "text_hash").distinct())
+
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``.
@@ -270,7 +284,7 @@ def first_of_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Documents without words stay.  Of repeated rows one stays.
     """
-    kept = NearDuplicates(docs, width, percent).rows().filter("kept").select("doc_id", "text_hash").distinct()
+    kept = NearDuplicates(docs, width, percent).firsts()
     marked = docs.withColumn("__hash", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
     same = kept.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
     found = marked.join(same, (F.col("__text") == F.col("__hash")) & F.col("__id").eqNullSafe(docs["doc_id"]), "left_semi")
