@@ -56,10 +56,13 @@ def labelled_ids(labels: DataFrame, column: str, per_class: int, seed: int = 1)
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, column: str, per_class: int, *columns: Column | str) -> DataFrame:
-    """The sampled ids' documents with their label.
+    """One document of each sampled id with its label: of repeated ids the row with the least hash.
 
     The sample has at most ``per_class`` ids of each class, 16 bytes each, so
-    broadcasting it is bounded by a parameter.
+    broadcasting it is bounded by a parameter.  Every task cuts its rows to one
+    for each id before they move.
     """
     sample = labelled_ids(labels, column, per_class)
-    return docs.join(F.broadcast(sample), "doc_id").select("doc_id", "label", *columns)
+    rows = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "label", F.struct(*columns).alias("__row"))
+    least = F.min(F.struct(F.xxhash64("__row").alias("hash"), F.col("__row").alias("row"))).alias("__least")
+    return rows.groupBy("doc_id", "label").agg(least).select("doc_id", "label", "__least.row.*")

@@ -77,13 +77,13 @@ def frequencies(texts: list[str]) -> np.ndarray:
 class Model:
     """Weights of all machines side by side: the families first, then the pairs."""
 
-    def __init__(self, texts: list[str], languages: list[str]):
+    def __init__(self, x: np.ndarray, languages: list[str]):
+        """``x``: the frequencies of each text; changed in place."""
         self.languages = sorted(set(languages))
         family = [FAMILY_OF.get(code, code) for code in languages]
         self.families = sorted(set(family))
         self.members = {f: [c for c in self.languages if FAMILY_OF.get(c, c) == f] for f in self.families}
         self.pairs = [p for f in self.families for p in combinations(self.members[f], 2)]
-        x = frequencies(texts)
         mean, spread = x.mean(axis=0), x.std(axis=0)
         scale = 1.0 / (spread + np.float32(2e-4))
         x -= mean
@@ -147,8 +147,23 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """A model from at most ``per_language`` documents of each language and ``MOST_ROWS`` in all, chosen by hash."""
     usable = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     rows = labelled_rows(usable.select("doc_id", "text"), usable.select("doc_id", "lang"), "lang", per_language, "text")
-    sample = rows.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_ROWS).toPandas()
-    return Model(list(sample["text"]), list(sample["label"])) if len(sample) else None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in frames(batches):
+            own = [frequencies([text])[0] for text in batch["text"]]
+            held = [np.flatnonzero(x).astype(np.int32) for x in own]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].array, "label": batch["label"].array, "held": held,
+                                "share": [x[at] for x, at in zip(own, held, strict=True)]})
+
+    # Texts stay on the executors; a document's vector is bounded, whatever its length.
+    vectors = rows.mapInPandas(run, "doc_id long, label string, held array<int>, share array<float>")
+    sample = vectors.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_ROWS).toPandas()
+    if not len(sample):
+        return None
+    x = np.zeros((len(sample), len(ORDERS) * DIMENSIONS), np.float32)
+    for i, (at, share) in enumerate(zip(sample["held"], sample["share"], strict=True)):
+        x[i, np.asarray(at, int)] = share
+    return Model(x, list(sample["label"]))
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
