@@ -15,11 +15,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from letterscope.llm.common import Staged, labelled_ids
+from letterscope.llm.common import Staged
 from letterscope.llm.textvec import frames, mix, shingles, words
 from letterscope.operators.ordinals import with_ordinal
 
-BUCKETS, SAMPLE, SEED, SMOOTHING = 1 << 14, 20_000, 5, 1.0
+BUCKETS, SEED, SMOOTHING = 1 << 14, 5, 1.0
 
 
 def buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -55,21 +55,25 @@ def _counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = SEED) -> DataFrame:
     """doc_id, log_ratio, draw, place and kept of every row of ``docs``.
 
-    The target model is counted on at most ``sample`` documents labelled of
-    quality 1, chosen by hash; the raw model and all draws cover every row.
+    The target model is counted on all documents labelled of quality 1; the
+    raw model and all draws cover every row.
     ``k`` documents are kept, by default the labels' share of quality 1 times
     the number of rows.  Without labels the ratio is 0 and all are kept.  A
     text that is null or empty has ratio 0.  The noise depends on the id, the text's
     hash and the seed only, so reruns agree; ``place`` counts from 0, and ties
     go by id.  Other columns are not read.
     """
-    good = labelled_ids(labels.filter("quality = 1"), "quality", sample).select("doc_id", F.lit(True).alias("target"))
+    good = labels.filter("quality = 1 and doc_id is not null").select("doc_id", F.lit(True).alias("target")).distinct()
     narrow = docs.select("doc_id", "text")
-    # At most ``sample`` ids of 8 bytes are broadcast.
-    counts = _counts(narrow.join(F.broadcast(good), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False))))
+    # The ids grow with the input: never broadcast, also where they are few, so that all sizes run alike.
+    # Null ids match nothing; the salt keeps them from landing in one task.
+    salt = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    marked = narrow.withColumn("__salt", salt).join(
+        good.withColumn("__salt", F.lit(0).cast("long")).hint("merge"), ["doc_id", "__salt"], "left")
+    counts = _counts(marked.withColumn("target", F.coalesce("target", F.lit(False))))
     share = labels.filter("quality is not null").agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
     smooth = counts + SMOOTHING
     ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum()) if counts[1].any() else np.zeros(BUCKETS)
