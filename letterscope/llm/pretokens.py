@@ -36,8 +36,8 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return kinds, mix(np.arange(0x110000, dtype=np.uint64), 11)
 
 
-def cut(texts: list[str | None], special: str | None = None) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All pieces of ``texts``: (joined text, starts, ends, hashes, first piece of each text).
+def cut(texts: list[str | None], special: str | None = None) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All pieces of ``texts``: (joined text, starts, ends, hashes, second hashes, first piece of each text).
 
     ``special`` is a string that stands for one token wherever it occurs.
     """
@@ -82,16 +82,30 @@ def cut(texts: list[str | None], special: str | None = None) -> tuple[str, np.nd
     ends = np.append(starts[1:], len(kind))
     wanted = kind[starts] != BORDER
     starts, ends = starts[wanted], ends[wanted]
-    hashes = slice_hashes(values[points], starts, ends)
-    return joined, starts, ends, hashes, np.searchsorted(starts, np.append(0, borders + 1))
+    hashes, checks = slice_hashes(points, values, starts, ends, checks=True)
+    return joined, starts, ends, hashes, checks, np.searchsorted(starts, np.append(0, borders + 1))
+
+
+def distinct(hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of one of each pair (hash, check), and for every pair the number of its one."""
+    _, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+    if np.array_equal(checks[at][back], checks):
+        return at, back
+    pairs = np.rec.fromarrays([hashes, checks])
+    _, at, back = np.unique(pairs, return_index=True, return_inverse=True)
+    return at, back
 
 
 class Memory:
-    """Open-addressing table from piece hash to a number; emptied when half full."""
+    """Open-addressing table from a piece's two hashes to a number; emptied when half full.
+
+    Both hashes, 128 bits, are compared before a number is given back.
+    """
 
     def __init__(self, bits: int = 22):
         self.mask = (1 << bits) - 1
         self.keys = np.zeros(1 << bits, np.uint64)
+        self.checks = np.zeros(1 << bits, np.uint64)
         self.values = np.zeros(1 << bits, np.int64)
         self.held = 0
 
@@ -102,24 +116,25 @@ class Memory:
     def full(self, more: int) -> bool:
         return self.held + more > (self.mask + 1) // 2
 
-    def get(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Values, and the positions of hashes that are not held."""
+    def get(self, hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values, and the positions of pieces that are not held."""
         slot = (hashes & np.uint64(self.mask)).astype(np.int64)
         key = self.keys[slot]
         out = self.values[slot]
         absent = key == 0
-        probing = np.flatnonzero((key != hashes) & ~absent)
+        probing = np.flatnonzero(((key != hashes) | (self.checks[slot] != checks)) & ~absent)
         while len(probing):
             slot[probing] = (slot[probing] + 1) & self.mask
-            key = self.keys[slot[probing]]
-            hit = key == hashes[probing]
-            out[probing[hit]] = self.values[slot[probing[hit]]]
+            at = slot[probing]
+            key = self.keys[at]
+            hit = (key == hashes[probing]) & (self.checks[at] == checks[probing])
+            out[probing[hit]] = self.values[at[hit]]
             absent[probing[key == 0]] = True
             probing = probing[~hit & (key != 0)]
         return out, np.flatnonzero(absent)
 
-    def put(self, hashes: np.ndarray, values: np.ndarray) -> None:
-        """Store distinct hashes that are not held yet."""
+    def put(self, hashes: np.ndarray, checks: np.ndarray, values: np.ndarray) -> None:
+        """Store distinct pieces that are not held yet."""
         slot = (hashes & np.uint64(self.mask)).astype(np.int64)
         left = np.arange(len(hashes))
         while len(left):
@@ -127,6 +142,7 @@ class Memory:
             _, first = np.unique(slot[free], return_index=True)
             chosen = free[first]
             self.keys[slot[chosen]] = hashes[chosen]
+            self.checks[slot[chosen]] = checks[chosen]
             self.values[slot[chosen]] = values[chosen]
             left = np.setdiff1d(left, chosen, assume_unique=True)
             slot[left] = (slot[left] + 1) & self.mask
@@ -146,24 +162,29 @@ class Encoder:
 
     def values(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """One value for each piece, and where each text's pieces begin."""
-        joined, starts, ends, hashes, first = cut(texts, self.special)
+        joined, starts, ends, hashes, checks, first = cut(texts, self.special)
+        return self.looked_up(joined, starts, ends, hashes, checks), first
+
+    def looked_up(self, joined: str, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """One value for each piece ``joined[start:end]`` with the given hashes."""
         hashes = np.maximum(hashes, np.uint64(1))  # 0 marks a free slot
-        out, missing = self.memory.get(hashes)
+        out, missing = self.memory.get(hashes, checks)
         if len(missing):
-            fresh, at, back = np.unique(hashes[missing], return_index=True, return_inverse=True)
-            if self.memory.full(len(fresh)):
+            at, back = distinct(hashes[missing], checks[missing])
+            if self.memory.full(len(at)):
                 self.memory.clear()
                 if self.forget:
                     self.forget()
-                distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+                at, back = distinct(hashes, checks)
                 values = self._encoded(joined, starts, ends, at)
-                if not self.memory.full(len(distinct)):
-                    self.memory.put(distinct, values)
-                return values[back], first
-            values = self._encoded(joined, starts, ends, missing[at])
-            self.memory.put(fresh, values)
+                if not self.memory.full(len(at)):
+                    self.memory.put(hashes[at], checks[at], values)
+                return values[back]
+            at = missing[at]
+            values = self._encoded(joined, starts, ends, at)
+            self.memory.put(hashes[at], checks[at], values)
             out[missing] = values[back]
-        return out, first
+        return out
 
     def _encoded(self, joined: str, starts: np.ndarray, ends: np.ndarray, which: np.ndarray) -> np.ndarray:
         return self.encode([joined[starts[i] : ends[i]] for i in which])

@@ -25,36 +25,48 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
-class Powers:
-    """Powers of an odd number and of its inverse modulo 2**64, as long as needed."""
-
-    def __init__(self, base: int = 0xD1342543DE82EF95):
-        self.base, self.inverse = base, pow(base, -1, 2**64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, CHUNK)
-            steps = np.full(size, self.base, np.uint64)
-            steps[0] = 1
-            back = np.full(size, self.inverse, np.uint64)
-            back[0] = 1
-            with np.errstate(over="ignore"):
-                self.up, self.down = np.cumprod(steps), np.cumprod(back)
-        return self.up, self.down
-
-
-POWERS = Powers()
 BYTE_VALUES = mix(np.arange(256, dtype=np.uint64), 7)
+_WINDOW = 1 << 17
 
 
-def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of every slice ``values[start:end]`` of 64-bit values, wherever it stands."""
-    up, down = POWERS.upto(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
+def slice_hashes(codes: np.ndarray, table: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                 checks: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every slice ``codes[start:end]``, wherever it stands; with ``checks`` a second, independent one.
+
+    ``table`` has a random value for each code.  Slices ascend, are not empty
+    and do not overlap.  Each element's value and its place in the slice go
+    through two multiplications with a shift between before they are added up,
+    so a sum over rearranged elements does not cancel as a polynomial's can.
+    The work goes through windows of bounded size; a long slice spans several.
+    """
+    first, second = np.zeros(len(starts), np.uint64), np.zeros(len(starts) if checks else 0, np.uint64)
+    a = 0
+    for low in range(0, len(codes), _WINDOW):
+        high = low + _WINDOW
+        while a < len(ends) and ends[a] <= low:
+            a += 1
+        b = a + int(np.searchsorted(starts[a:], high))
+        if a == b:
+            continue
+        begin, end = np.maximum(starts[a:b], low), np.minimum(ends[a:b], high)
+        # Slices and the gaps between them in turn; sums over gaps are passed over.
+        turns = np.stack([begin, end], axis=1).ravel()[:-1] - begin[0]
+        place = np.arange(begin[0], end[-1]) - np.repeat(starts[a:b], np.diff(begin, append=end[-1]))
+        with np.errstate(over="ignore"):
+            z = table[codes[begin[0] : end[-1]]] + place.astype(np.uint64) * np.uint64(_MULTIPLIER)
+            z *= np.uint64(0xD6E8FEB86659FD93)
+            z ^= z >> np.uint64(32)
+            z *= np.uint64(0xBF58476D1CE4E5B9)
+            first[a:b] += np.add.reduceat(z, turns)[::2]
+            if checks:
+                z ^= z >> np.uint64(29)
+                z *= np.uint64(0x94D049BB133111EB)
+                z ^= z >> np.uint64(31)
+                second[a:b] += np.add.reduceat(z, turns)[::2]
+        a = max(a, b - 1)
     with np.errstate(over="ignore"):
-        np.cumsum(values * up[: len(values)], out=total[1:])
-        return mix((total[ends] - total[starts]) * down[starts])
+        size = (ends - starts).astype(np.uint64) * np.uint64(_MULTIPLIER)
+        return mix(first + size, 3), second
 
 
 def chunks(texts: list[str | None], size: int = CHUNK) -> Iterator[tuple[int, int]]:
@@ -99,7 +111,7 @@ def words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     raw, borders = laid_out(texts)
     raw = LOWER[raw]
     starts, ends = word_places(raw, _IS_SPACE)
-    return slice_hashes(BYTE_VALUES[raw], starts, ends), np.searchsorted(starts, borders)
+    return slice_hashes(raw, BYTE_VALUES, starts, ends)[0], np.searchsorted(starts, borders)
 
 
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:

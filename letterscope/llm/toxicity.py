@@ -38,11 +38,10 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     raw = LOWER[raw]
     starts, ends = word_places(raw, PUNCTUATION)
     row = np.searchsorted(borders, starts, side="right") - 1
-    values = BYTE_VALUES[raw]
-    found, rows = [mix(slice_hashes(values, starts, ends), 61)], [row]
+    found, rows = [mix(slice_hashes(raw, BYTE_VALUES, starts, ends)[0], 61)], [row]
     for k in PREFIXES:
         longer = ends - starts > k
-        found.append(mix(slice_hashes(values, starts[longer], starts[longer] + k), 61 + k))
+        found.append(mix(slice_hashes(raw, BYTE_VALUES, starts[longer], starts[longer] + k)[0], 61 + k))
         rows.append(row[longer])
     return np.concatenate(found), np.concatenate(rows), np.bincount(row, minlength=len(texts))
 
