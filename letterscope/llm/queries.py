@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from letterscope.llm import (
+    alignment,
     language_id,
     mixing,
     near_dedup,
@@ -63,10 +64,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_toxicity, op2_secrets, op3_mixing, op4_near_duplicates, op5_near_vectors, op6_language,
-              op7_resampling, op8_packing, op9_token_counts, op10_quality_rules)
+              op7_resampling, op8_packing, op9_token_counts, op10_quality_rules, op13_alignment)
 }
 
 # All documents linked by word shingles, and all vectors by cosine, in plain SQL.
