@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from letterscope.llm import (
     alignment,
+    conversations,
     language_id,
     mixing,
     near_dedup,
@@ -65,6 +66,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.fingerprint(table(spark, sf_dir, "documents"))
 
@@ -76,8 +81,8 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_toxicity, op2_secrets, op3_mixing, op4_near_duplicates, op5_near_vectors, op6_language,
-              op7_resampling, op8_packing, op9_token_counts, op10_quality_rules, op12_fingerprints,
-              op13_alignment)
+              op7_resampling, op8_packing, op9_token_counts, op10_quality_rules, op11_conversations,
+              op12_fingerprints, op13_alignment)
 }
 
 # All documents linked by word shingles, and all vectors by cosine, in plain SQL.
