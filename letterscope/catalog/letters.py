@@ -423,7 +423,7 @@ def scan_json_glob(spark, sf_dir):
     path = new_path(spark, "objects")
     docs = content(spark, sf_dir).select("file_id", "metadata", "attachments")
     text = F.to_json(F.struct("file_id", "metadata", "attachments")).alias("value")
-    docs.select(text).coalesce(8).write.option("maxRecordsPerFile", 1).text(path)
+    docs.select(text).write.option("maxRecordsPerFile", 1).text(path)
     read = sources.read_json_files(spark, path, CONTENT, "*.txt")
     return read.select(
         F.col("file_id").alias("doc_id"), "metadata.subject", F.size("attachments").alias("n_attachments"),

@@ -403,6 +403,7 @@ def documents_with_id(spark, sf_dir):
     return docs.select(ordinals.document_id(F.col("event_id"), "record").alias("_id"), *docs.columns[1:])
 
 
+_PAIR_FIELDS = ["source_ip", "destination_port", "smtp_command", "from_email", "is_encrypted", "response_code"]
 _PAIR_SQL = f"""WITH {KIND}, d AS (SELECT {_DOC_SQL})
     SELECT concat('record_', CAST(event_id AS VARCHAR)) AS _id, 'email-traffic' AS _index, source_ip,
     destination_port, smtp_command, from_email, is_encrypted, response_code FROM d"""
@@ -411,29 +412,31 @@ _PAIR_SQL = f"""WITH {KIND}, d AS (SELECT {_DOC_SQL})
 @query("bulk_pairs", _PAIR_SQL)
 def bulk_pairs(spark, sf_dir):
     pairs = loading.bulk_pairs(documents_with_id(spark, sf_dir), "email-traffic")
-    doc, action = "document", "action"
-    return pairs.select(
-        F.get_json_object(action, "$.index._id").alias("_id"),
-        F.get_json_object(action, "$.index._index").alias("_index"),
-        F.get_json_object(doc, "$.source_ip").alias("source_ip"),
-        F.get_json_object(doc, "$.destination_port").cast("int").alias("destination_port"),
-        F.get_json_object(doc, "$.smtp_command").alias("smtp_command"),
-        F.get_json_object(doc, "$.from_email").alias("from_email"),
-        F.get_json_object(doc, "$.is_encrypted").cast("boolean").alias("is_encrypted"),
-        F.get_json_object(doc, "$.response_code").cast("int").alias("response_code"),
-    )
+    action = F.from_json("action", "index struct<_index: string, _id: string>").alias("action")
+    document = F.from_json("document", """source_ip string, destination_port int, smtp_command string, from_email string,
+        is_encrypted boolean, response_code int""").alias("document")
+    return pairs.select(action, document).select("action.index._id", "action.index._index", "document.*")
 
 
-@query("scan_bulk_pairs", _PAIR_SQL)
+@query("scan_bulk_pairs", f"""SELECT CASE WHEN event_id % 29 = 0 THEN NULL ELSE _id END AS _id,
+    CASE WHEN event_id % 29 = 0 THEN NULL ELSE _index END AS _index,
+    {", ".join(f"CASE WHEN event_id % 31 = 0 AND event_id % 29 <> 0 THEN NULL ELSE {c} END AS {c}" for c in _PAIR_FIELDS)},
+    CASE WHEN event_id % 29 = 0 THEN 'unreadable action' WHEN event_id % 31 = 0 THEN 'unreadable document' END AS problem
+    FROM ({_PAIR_SQL.replace("SELECT concat('record_'", "SELECT event_id, concat('record_'")})""")
 def scan_bulk_pairs(spark, sf_dir):
+    """A bulk file of all documents read back; some actions and some documents in it are broken."""
     from letterscope.schemas import TRAFFIC_DOCUMENT
 
     path = new_path(spark, "bulk")
-    loading.write_bulk_file(loading.bulk_pairs(documents_with_id(spark, sf_dir), "email-traffic"), path)
+    pairs = loading.bulk_pairs(documents_with_id(spark, sf_dir), "email-traffic")
+    event = F.regexp_extract("action", "record_([0-9]+)", 1).cast("bigint")
+    loading.write_bulk_file(pairs.select(
+        F.when(event % 29 == 0, F.regexp_replace("action", "}", "")).otherwise(F.col("action")).alias("action"),
+        F.when((event % 29 != 0) & (event % 31 == 0), F.lit('{"source_ip": ')).otherwise(F.col("document")).alias("document")), path)
     read = text_exports.read_bulk_file(spark, path, TRAFFIC_DOCUMENT)
-    return read.filter("problem is null").select(
+    return read.select(
         "_id", "_index", "_source.source_ip", "_source.destination_port", "_source.smtp_command",
-        "_source.from_email", "_source.is_encrypted", "_source.response_code",
+        "_source.from_email", "_source.is_encrypted", "_source.response_code", "problem",
     )
 
 

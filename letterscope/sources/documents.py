@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from letterscope.sources.split_records import count_of, pieces, records
+
 
 def read_messages(
     spark: SparkSession, path: str | list[str], pattern: str | None = None, min_bytes: int = 0
@@ -32,12 +34,32 @@ def read_messages(
 
 
 def read_json_array(spark: SparkSession, path: str | list[str], schema: str | StructType) -> DataFrame:
-    """Files holding one JSON array each; unreadable input is an error.
+    """Files holding one JSON array of objects each; unreadable input is an error.
 
-    One such file is one task.  Data written by this engine is one document
-    per line (:func:`read_json_lines`), which splits.
+    A file is read by as many tasks as it has splits.  It is taken apart at
+    closing braces; quotes without escaped ones tell whether a brace stands in
+    a string, and the depth of brackets outside strings whether it ends a document.
     """
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    parts = pieces(spark, path, "}")
+    # Escaped characters cannot open, close or quote; of the rest every second part between quotes lies in a string.
+    between = F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"')
+
+    def shift(odd: int) -> Column:
+        outside = F.array_join(F.filter(between, lambda _, i: i % 2 == odd), "")
+        # The brace that ended the piece closes, unless it stands in a string.
+        closed = F.when((F.size(between) - 1) % 2 == odd, 1).otherwise(0)
+        return count_of(outside, "{[") - count_of(outside, "]") - closed
+
+    state = parts.select("*", (F.size(between) - 1).alias("flips"), shift(0).alias("if_even"), shift(1).alias("if_odd"))
+    found = records(state, "}", end_depth=1)
+    text = F.col("value")
+    opened = F.when(F.col("first"), text.rlike(r"^\s*\[\s*\{")).otherwise(text.rlike(r"^\s*,\s*\{"))
+    empty = F.col("first") & text.rlike(r"^\s*\[\s*\]\s*\z")
+    finished = F.when(F.col("closed"), opened & F.coalesce("rest", F.lit(True))).otherwise(text.rlike(r"^\s*\]\s*\z") | empty)
+    broken = F.raise_error(F.concat(F.lit("not an array of JSON objects: "), "file_path"))
+    documents = found.filter(F.when(finished, F.col("closed")).otherwise(broken))
+    document = F.concat(F.regexp_replace("value", r"^\s*[\[,]\s*", ""), F.lit("}"))
+    return documents.select(F.from_json(document, schema, {"mode": "FAILFAST"}).alias("document")).select("document.*")
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: str | StructType) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from letterscope.functions.text import empty_to_null, strip
 from letterscope.schemas import FRAME_EXPORT_COLUMNS
+from letterscope.sources.split_records import count_of, pieces, records
 from letterscope.staging import stage
 
 # A separator no export contains: the CSV reader then hands over whole lines
@@ -97,12 +98,21 @@ def read_ragged_csv(spark: SparkSession, path: str | list[str], header: list[str
 
 
 def read_quoted_csv(spark: SparkSession, path: str | list[str], header: list[str]) -> DataFrame:
-    """Well-formed CSV with quotes; a malformed row is an error."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return (
-        spark.read.option("header", True).option("mode", "FAILFAST").option("multiLine", True)
-        .option("quote", '"').option("escape", '"').schema(schema).csv(path).na.fill("")
-    )
+    """Well-formed CSV with quotes and a header line; a malformed row is an error.
+
+    Values may hold line breaks.  A line ends a row if the quotes up to it are
+    even in number, so a file is read by as many tasks as it has splits.
+    """
+    lines = pieces(spark, path)
+    none = F.lit(0)
+    rows = records(lines.select("*", count_of(F.col("value"), '"').alias("flips"), none.alias("if_even"), none.alias("if_odd")), "\n")
+    text = F.regexp_replace("value", "\r\\z", "")
+    unclosed = F.raise_error(F.concat(F.lit("a quote is not closed in "), "file_path"))
+    kept = rows.filter(F.when(~F.col("closed"), unclosed).otherwise(~F.col("first") & (text != "")))
+    schema = ", ".join(f"{quoted(name)} string" for name in header)
+    options = {"mode": "FAILFAST", "quote": '"', "escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}
+    return kept.select(F.from_csv(text, schema, options).alias("row")).select(
+        *[F.coalesce(F.col("row")[name], F.lit("")).alias(name) for name in header])
 
 
 def read_session_csv(spark: SparkSession, path: str | list[str], schema: str | T.StructType) -> DataFrame:
@@ -112,28 +122,26 @@ def read_session_csv(spark: SparkSession, path: str | list[str], schema: str | T
 
 
 def read_bulk_file(spark: SparkSession, path: str | list[str], document: str | T.StructType) -> DataFrame:
-    """Action and document lines, paired in file order.
+    """Action and document lines, paired in file order; blank lines do not count.
 
     Columns: file_name, pair_no, _index, _id, _source, problem.  A line without
-    its partner, or one that does not parse, is reported in ``problem``.
+    its partner, or one that does not parse, is reported in ``problem``.  Pairs
+    are made inside each split; only lines at split borders move.
     """
-    action = "index struct<_index: string, _id: string>"
-    pairs = (
-        numbered_lines(spark, path)
-        .groupBy("file_path", "file_name", F.floor(F.col("line_no") / 2).alias("pair_no"))
-        .agg(
-            F.max(F.when(F.col("line_no") % 2 == 0, F.col("value"))).alias("action_line"),
-            F.max(F.when(F.col("line_no") % 2 == 1, F.col("value"))).alias("document_line"),
-        )
-        .withColumn("action", F.from_json("action_line", action))
-        .withColumn("_source", F.from_json("document_line", document))
-    )
+    lines = pieces(spark, path).withColumn("value", strip("value")).filter(F.col("value") != "")
+    none = F.lit(0)
+    pairs = records(lines.select("*", F.lit(1).alias("flips"), none.alias("if_even"), none.alias("if_odd")), "\n")
+    halves = F.split("value", "\n", 2)
+    read = pairs.select(
+        F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
+        F.floor((F.col("at") - 1) / 2).alias("pair_no"),
+        F.from_json(halves[0], "index struct<_index: string, _id: string>").alias("action"),
+        F.get(halves, F.lit(1)).alias("document_line"),
+    ).withColumn("_source", F.from_json("document_line", document))
     problem = (
         F.when(F.col("document_line").isNull(), F.lit("action without document"))
         .when(F.col("action.index._id").isNull(), F.lit("unreadable action"))
         .when(F.try_parse_json("document_line").isNull(), F.lit("unreadable document"))
     )
-    return pairs.select(
-        "file_name", "pair_no", "action.index._index", "action.index._id", "_source",
-        problem.alias("problem"),
-    )
+    return read.select(
+        "file_name", "pair_no", "action.index._index", "action.index._id", "_source", problem.alias("problem"))
