@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from letterscope.catalog.adapters import MESSAGES_SQL, message_text, messages, table
-from letterscope.catalog.traffic import EXPORT, RECORD_SQL, _VALID, _WS, _private, records
+from letterscope.catalog.traffic import EXPORT, RECORD_SQL, _VALID, _WS, _private, _valid4, records
 from letterscope.functions import dates, html, search
 from letterscope.functions.text import strip_or_null
-from letterscope.operators import loading, mime, ordinals, reports
+from letterscope.operators import checked_load, loading, mime, ordinals, reports
 from letterscope.schemas import CONTENT, FINAL_DOCUMENT, MESSAGE
 from letterscope.sources import documents as sources
 from letterscope.staging import new_path, stage
@@ -255,10 +255,54 @@ def rebase64(spark, sf_dir):
     return parsed.select("doc_id", F.md5(F.col("body.text").cast("binary")).alias("text_md5"))
 
 
-@query("email_hash")
+def _ascii_sql(x: str) -> str:
+    """JSON text of a string, everything but printable ASCII escaped."""
+    code = "unicode(c)"
+    return f"""('"' || array_to_string(list_transform(regexp_extract_all({x}, '(?s).'), lambda c: CASE
+        WHEN c = '"' THEN '\\"' WHEN c = '\\' THEN '\\\\' WHEN {code} BETWEEN 32 AND 126 THEN c
+        WHEN {code} = 8 THEN '\\b' WHEN {code} = 9 THEN '\\t' WHEN {code} = 10 THEN '\\n'
+        WHEN {code} = 12 THEN '\\f' WHEN {code} = 13 THEN '\\r'
+        WHEN {code} > 65535 THEN printf('\\u%04x\\u%04x', 55296 + (({code} - 65536) >> 10), 56320 + (({code} - 65536) & 1023))
+        ELSE printf('\\u%04x', {code}) END), '') || '"')"""
+
+
+_CRLF = "(chr(13) || chr(10))"
+_HEADERS = [
+    ("Cc", "cc", "doc_id % 4 = 0"), ("Content-Transfer-Encoding", "'8bit'", "shape = 1"),
+    ("Content-Type", """CASE shape WHEN 0 THEN 'multipart/mixed; boundary="=_part_' || doc_id || '"'
+        WHEN 1 THEN 'text/plain; charset="utf-8"' ELSE 'multipart/related; boundary="=_part_' || doc_id || '"' END""", "true"),
+    ("Date", "date", "true"), ("From", "sender", "true"), ("MIME-Version", "'1.0'", "true"),
+    ("Message-ID", "message_id", "true"), ("Received", "'from b by c'", "true"), ("Subject", "subject", "true"),
+    ("To", "recipient", "true"),
+]
+_HEADERS_JSON = "concat_ws(', ', " + ", ".join(
+    f"CASE WHEN {given} THEN '\"{name}\": ' || {_ascii_sql(value)} END" for name, value, given in _HEADERS) + ")"
+_METADATA = {
+    "bcc": "''", "cc": "cc", "content_transfer_encoding": "CASE WHEN shape = 1 THEN '8bit' ELSE '' END",
+    "content_type": "CASE shape WHEN 0 THEN 'multipart/mixed' WHEN 1 THEN 'text/plain' ELSE 'multipart/related' END",
+    "date": "date", "from": "sender", "message_id": "message_id", "mime_version": "'1.0'", "received": None,
+    "subject": "subject", "to": "recipient",
+}
+_METADATA_JSON = " || ', ' || ".join(
+    f"'\"{name}\": ' || " + (_ascii_sql(value) if value else "'[\"from a by b\", \"from b by c\"]'") for name, value in _METADATA.items())
+_RECORD_JSON = f"""'{{"attachments": [' || CASE WHEN shape = 0 THEN '{{"content_type": "application/octet-stream", "filename": "' || file
+    || CASE WHEN text = '' THEN '' ELSE '", "md5": "' || md5(text) || '", "sha256": "' || sha256(text) END
+    || '", "size": ' || strlen(text) || '}}' ELSE '' END || '], "body": {{'
+    || CASE WHEN shape = 2 THEN '"html": ' || {_ascii_sql('page')} WHEN text = '' THEN '' ELSE '"text": ' || {_ascii_sql('text')} END
+    || '}}, "file_id": ' || doc_id || ', "file_size": ' || strlen(filename) || ', "filename": "' || filename || '", "headers": {{'
+    || {_HEADERS_JSON} || '}}, "metadata": {{' || {_METADATA_JSON} || '}}}}'"""
+_HASHED = f"h AS (SELECT doc_id, md5({_RECORD_JSON}) AS email_hash FROM m)"
+
+
+def named_content(spark, sf_dir, **options):
+    """The parsed messages, the length of the file's name standing for that of the file."""
+    mail = messages(spark, sf_dir).drop("path").withColumn("file_id", F.col("doc_id"))
+    return mime.parse_content(mail.withColumn("file_size", F.octet_length("filename").cast("bigint")), **options)
+
+
+@query("email_hash", f"WITH {M}, {_HASHED} SELECT * FROM h")
 def email_hash(spark, sf_dir):
-    hashed = content(spark, sf_dir).select("doc_id", mime.email_hash().alias("h"))
-    return hashed.select("doc_id", F.col("h").alias("email_hash"))
+    return named_content(spark, sf_dir).select("doc_id", mime.email_hash().alias("email_hash"))
 
 
 @query("parse_outcomes", "SELECT count(*) AS total_files, count(*) AS successfully_parsed, 0 AS failed FROM documents")
@@ -311,7 +355,8 @@ def numbered_matches(spark, sf_dir):
         "filename", F.col("metadata.from").alias("sender"), "metadata.subject",
         F.size("attachments").alias("attachments"),
     )
-    numbered = ordinals.with_ordinal(matching, "filename")
+    # Stored before it is numbered, as numbering reads its rows more than once.
+    numbered = ordinals.with_ordinal(stage(matching, "matches"), "filename")
     return numbered.select((F.col("ordinal") + 1).alias("number"), "filename", "sender", "subject", "attachments")
 
 
@@ -433,9 +478,10 @@ def scan_json_glob(spark, sf_dir):
 
 # --- nested documents -----------------------------------------------------
 def joined(spark, sf_dir):
-    left = ordinals.with_ordinal(mime.parse_messages(messages(spark, sf_dir)).drop("filename"), "path")
-    right = ordinals.with_ordinal(records(spark, sf_dir), "event_id")
-    return ordinals.positional_join(left, right)
+    """Parsed messages with their frames; only keys are numbered, and the parser stands in the plan once."""
+    mail, frames = messages(spark, sf_dir).drop("filename"), records(spark, sf_dir)
+    pairs = ordinals.positional_pairs(mail, "path", frames, "event_id")
+    return mime.parse_messages(mail).join(pairs.join(frames, "event_id", "left"), "path")
 
 
 _JOINED = f"""{M}, {EXPORT}, f AS (SELECT *, row_number() OVER (ORDER BY event_id) AS i
@@ -484,3 +530,70 @@ def final_docs_table(spark, sf_dir):
     loading.replace_table(loading.final_documents(joined(spark, sf_dir)), FINAL_DOCUMENT, path)
     stored = spark.read.schema(FINAL_DOCUMENT).parquet(path)
     return final_view(stored.withColumn("doc_id", _key("message.message_id")))
+
+
+# --- checked loads --------------------------------------------------------
+def loaded_final(spark, sf_dir):
+    """Final documents, some with a timestamp that is none, in milliseconds or missing; some frames have bad addresses."""
+    kind = F.col("doc_id") % 7
+    second = F.lit(1704067200) + F.col("doc_id") * 60
+    rows = joined(spark, sf_dir).withColumn("date", F.when(kind == 3, "sometime").when(kind == 5, (second * 1000).cast("string"))
+                                            .when(kind == 6, None).otherwise(F.col("date")))
+    return checked_load.load_final_documents(rows, new_path(spark, "final"), "doc_id")
+
+
+_LOAD_FINAL = f"""{_JOINED}, l AS (SELECT doc_id, i AS _id, src_ip, dst_ip, CASE WHEN doc_id % 7 = 3 THEN 'bad date: timestamp'
+    WHEN NOT {_valid4('src_ip')} THEN 'bad ip: network.source.ip' WHEN NOT {_valid4('dst_ip')} THEN 'bad ip: network.destination.ip'
+    END AS reason FROM j)"""
+
+
+@query("load_final_docs", f"""WITH {_LOAD_FINAL} SELECT doc_id, _id, src_ip AS source_ip, dst_ip AS destination_ip,
+    CASE WHEN doc_id % 7 NOT IN (3, 6) THEN (1704067200 + doc_id * 60) * 1000000 END AS instant_us,
+    reason IS NULL AS accepted, reason FROM l""")
+def load_final_docs(spark, sf_dir):
+    return loaded_final(spark, sf_dir).rows(spark).select(
+        "doc_id", "_id", F.col("network.source.ip").alias("source_ip"), F.col("network.destination.ip").alias("destination_ip"),
+        F.unix_micros("instant").alias("instant_us"), "accepted", "reason")
+
+
+@query("load_final_outcomes", f"WITH {_LOAD_FINAL} SELECT reason IS NULL AS accepted, reason, count(*) AS n FROM l GROUP BY 1, 2")
+def load_final_outcomes(spark, sf_dir):
+    return loaded_final(spark, sf_dir).outcomes(spark)
+
+
+@query("load_first_failures", f"WITH {_LOAD_FINAL} SELECT _id, doc_id, reason FROM l WHERE reason IS NOT NULL ORDER BY _id LIMIT 5")
+def load_first_failures(spark, sf_dir):
+    return loaded_final(spark, sf_dir).first_failures(spark, "_id").select("_id", "doc_id", "reason")
+
+
+_LOADED_CONTENT = f"""{M}, {_HASHED}, n AS (SELECT *, row_number() OVER (ORDER BY filename) - 1 AS i FROM m),
+    l AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'email_' || i ELSE email_hash END AS _id,
+    CASE WHEN doc_id % 11 = 4 THEN 'too long: metadata.message_id' END AS reason,
+    CASE WHEN doc_id % 13 <> 6 THEN strftime(make_timestamp((1704067200 + doc_id * 60) * 1000000), '%Y-%m-%dT%H:%M:%S+00:00') END AS date,
+    shape, text, page, subject FROM n JOIN h USING (doc_id))"""
+
+
+def loaded_content(spark, sf_dir):
+    """Content documents; some have no hash, no readable date, or a message id that is too long."""
+    mail = messages(spark, sf_dir)
+    places = ordinals.with_ordinal(mail.select("filename"), "filename", name="place")
+    found = named_content(spark, sf_dir).withColumn("email_hash", F.when(F.col("doc_id") % 5 != 0, mime.email_hash()))
+    edited = F.col("metadata").withField("date", F.when(F.col("doc_id") % 13 == 6, "some day").otherwise(F.col("metadata.date"))).withField(
+        "message_id", F.when(F.col("doc_id") % 11 == 4, F.repeat(F.lit("x"), 40000)).otherwise(F.col("metadata.message_id")))
+    rows = found.withColumn("metadata", edited).join(places, "filename")
+    return checked_load.load_content_documents(rows, new_path(spark, "content"), F.col("place"))
+
+
+@query("load_content_docs", f"""WITH {_LOADED_CONTENT} SELECT doc_id, _id, date, subject, shape = 0 AS has_attachments,
+    CASE WHEN shape = 0 THEN 1 ELSE 0 END AS attachment_count, CASE WHEN shape = 2 THEN length(page) ELSE length(text) END AS body_length,
+    '{{"index":{{"_index":"email-content","_id":"' || _id || '"}}}}' AS action, reason IS NULL AS accepted, reason FROM l""")
+def load_content_docs(spark, sf_dir):
+    rows = loaded_content(spark, sf_dir).rows(spark)
+    action = F.to_json(F.struct(F.struct(F.lit("email-content").alias("_index"), "_id").alias("index")))
+    return rows.select("doc_id", "_id", "metadata.date", "metadata.subject", "has_attachments", "attachment_count", "body_length",
+                       action.alias("action"), "accepted", "reason")
+
+
+@query("load_content_outcomes", f"WITH {_LOADED_CONTENT} SELECT reason IS NULL AS accepted, reason, count(*) AS n FROM l GROUP BY 1, 2")
+def load_content_outcomes(spark, sf_dir):
+    return loaded_content(spark, sf_dir).outcomes(spark)

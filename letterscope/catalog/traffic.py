@@ -10,7 +10,8 @@ from letterscope.catalog.adapters import (
 from letterscope.functions import address, net, smtp
 from letterscope.functions.text import digit_int, epoch_ts, safe_int, to_double
 from letterscope.operators import frames as fr
-from letterscope.operators import loading, ordinals, reports
+from letterscope.operators import checked_load, loading, ordinals, reports
+from letterscope.operators.keyed_table import KeyedTable
 from letterscope.sources import text_exports
 from letterscope.staging import new_path
 
@@ -493,3 +494,47 @@ def discover(spark, sf_dir):
     start, end = (F.lit(d).cast("timestamp") for d in ("2024-01-05", "2024-01-20"))
     found = reports.discover(classified(spark, sf_dir), "timestamp", start, end, "event_id")
     return found.select("event_id", F.unix_micros("timestamp").alias("ts_us"), "smtp_command")
+
+
+@query("load_traffic_docs", f"""WITH {KIND}, d AS (SELECT {_DOC_SQL}), l AS (SELECT event_id, source_ip, destination_ip, smtp_command,
+    CASE WHEN NOT {_valid4('source_ip')} THEN 'bad ip: source_ip' WHEN NOT {_valid4('destination_ip')} THEN 'bad ip: destination_ip'
+    END AS reason FROM d) SELECT *, reason IS NULL AS accepted FROM l""")
+def load_traffic_docs(spark, sf_dir):
+    """Traffic documents loaded into a table whose address columns take addresses only."""
+    docs = fr.traffic_documents(classified(spark, sf_dir), "event_id")
+    loaded = checked_load.load_traffic_documents(docs, new_path(spark, "traffic"))
+    return loaded.rows(spark).select("event_id", "source_ip", "destination_ip", "smtp_command", "accepted", "reason")
+
+
+_UPSERTS = """b0 AS (SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events
+    WHERE event_id % 5 = 0 AND user_id % 3 <> 0 GROUP BY 1), b1 AS (SELECT user_id, arg_max(event_type, event_id) AS event_type,
+    max(event_id) AS event_id FROM events WHERE event_id % 5 IN (1, 2) AND user_id % 2 = 0 GROUP BY 1),
+    b2 AS (SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events
+    WHERE event_id % 5 IN (3, 4) AND user_id % 5 = 1 GROUP BY 1)"""
+
+
+def upserted_table(spark, sf_dir):
+    """A stored table of each user's last event, and two upserts with later events of some users."""
+    from letterscope.catalog.adapters import table
+
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id")
+    stored = KeyedTable.create(spark, new_path(spark, "users"), "user_id bigint, event_type string, event_id bigint", "user_id", 16)
+    batches = ["event_id % 5 = 0 AND user_id % 3 <> 0", "event_id % 5 IN (1, 2) AND user_id % 2 = 0",
+               "event_id % 5 IN (3, 4) AND user_id % 5 = 1"]
+    return stored, [stored.upsert(events.filter(b), "event_id") for b in batches]
+
+
+@query("stored_upsert", f"""WITH {_UPSERTS}, late AS (SELECT * FROM b2 UNION ALL SELECT * FROM b1 WHERE user_id NOT IN (SELECT user_id FROM b2))
+    SELECT * FROM late UNION ALL SELECT * FROM b0 WHERE user_id NOT IN (SELECT user_id FROM late)""")
+def stored_upsert(spark, sf_dir):
+    return upserted_table(spark, sf_dir)[0].read()
+
+
+@query("upsert_outcomes", f"""WITH {_UPSERTS}, u AS (SELECT 1 AS version, user_id, false AS known FROM b0
+    UNION ALL SELECT 2, user_id, user_id IN (SELECT user_id FROM b0) FROM b1
+    UNION ALL SELECT 3, user_id, user_id IN (SELECT user_id FROM b0) OR user_id IN (SELECT user_id FROM b1) FROM b2)
+    SELECT version, count(*) FILTER (NOT known) AS inserted, count(*) FILTER (known) AS updated FROM u GROUP BY 1""")
+def upsert_outcomes(spark, sf_dir):
+    """What each of the three writes did, as counted by the job that wrote."""
+    rows = [(u.version, u.inserted, u.updated) for u in upserted_table(spark, sf_dir)[1]]
+    return spark.createDataFrame(rows, "version int, inserted bigint, updated bigint")

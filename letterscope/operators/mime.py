@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import json
 import mimetypes
 from email import policy
 from email.header import decode_header, make_header
@@ -26,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from letterscope.functions.canonical import json_list, json_map, json_number, json_object, json_text
 from letterscope.functions.text import as_col, strip_or_null
 from letterscope.schemas import ATTACHMENT, struct
 
@@ -349,32 +349,34 @@ def _present(fields: dict) -> dict:
     return {k: v for k, v in fields.items() if v is not None}
 
 
-def record_hash(record: dict) -> str:
-    """md5 of the sorted-key JSON text of a record; absent members are left out."""
-    shown = dict(record)
-    shown["headers"] = dict(shown["headers"] or [])
-    shown["body"] = _present(shown["body"] or {})
-    shown["attachments"] = [_present(a) for a in shown["attachments"] or []]
-    return hashlib.md5(json.dumps(shown, sort_keys=True).encode("utf-8")).hexdigest()
+@F.arrow_udf(T.IntegerType())
+def _printed_length(bodies: pa.Array) -> pa.Array:
+    return pa.array([None if b is None else len(str(_present(b))) for b in bodies.to_pylist()], pa.int32())
 
 
-@F.arrow_udf(T.StringType())
-def _hashes(records: pa.Array) -> pa.Array:
-    return pa.array([None if r is None else record_hash(r) for r in records.to_pylist()], pa.string())
+def record_text() -> Column:
+    """JSON text of a second-form record before body clean-up; absent members of body and attachments are left out."""
+    texts = ("message_id", "date", "from", "to", "cc", "bcc", "subject", "content_type", "content_transfer_encoding", "mime_version")
+    metadata = {name: json_text(F.col("metadata")[name]) for name in texts}
+    metadata["received"] = json_list(F.col("metadata")["received"], json_text)
 
+    def attachment(a: Column) -> Column:
+        shown = {name: json_text(a[name]) for name in ("filename", "content_type", "md5", "sha256")}
+        return json_object(shown | {"size": json_number(a["size"])}, keep_nulls=False)
 
-@F.arrow_udf(T.IntegerType())
-def _printed_length(bodies: pa.Array) -> pa.Array:
-    return pa.array([None if b is None else len(str(_present(b))) for b in bodies.to_pylist()], pa.int32())
+    empty_map = F.create_map().cast("map<string,string>")
+    return json_object({
+        "file_id": json_number("file_id"), "filename": json_text("filename"), "file_size": json_number("file_size"),
+        "headers": json_map(F.coalesce("headers", empty_map)),
+        "body": json_object({name: json_text(F.col("raw_body")[name]) for name in ("text", "html")}, keep_nulls=False),
+        "attachments": json_list(F.coalesce("attachments", F.array()), attachment),
+        "metadata": json_object(metadata),
+    })
 
 
 def email_hash() -> Column:
-    """Identity of a second-form record, before body clean-up, file id and name included."""
-    record = F.struct(
-        "file_id", "filename", "file_size", "headers", F.col("raw_body").alias("body"),
-        "attachments", "metadata",
-    )
-    return _hashes(F.when(F.col("parse_error").isNull(), record))
+    """Identity of a second-form record: MD5 of its JSON text, file id and name included; null if it did not parse."""
+    return F.when(F.col("parse_error").isNull(), F.md5(F.encode(record_text(), "UTF-8")))
 
 
 def printed_body_length(body: Column | str = "body") -> Column:
@@ -382,20 +384,16 @@ def printed_body_length(body: Column | str = "body") -> Column:
     return _printed_length(as_col(body))
 
 
-def enrich(content: DataFrame) -> DataFrame:
-    """Attachment flag and count, and the length of the body's text and HTML."""
+def enrich(content: DataFrame, parsed_at: Column | None = None) -> DataFrame:
+    """Attachment flag and count, the length of the body's text and HTML, and the time (now, unless given)."""
     size = F.coalesce(F.size("attachments"), F.lit(0))
     length = F.coalesce(F.length("body.text"), F.lit(0)) + F.coalesce(F.length("body.html"), F.lit(0))
     return content.select(
         "*", (size > 0).alias("has_attachments"), size.alias("attachment_count"),
-        length.alias("body_length"), F.current_timestamp().alias("parsed_at"),
+        length.alias("body_length"), (F.current_timestamp() if parsed_at is None else parsed_at).alias("parsed_at"),
     )
 
 
-def attachment_names(attachments: Column | str = "attachments") -> Column:
-    return F.transform(attachments, lambda a: F.coalesce(a["filename"], F.lit("unknown")))
-
-
 def preview(value: Column | str, width: int = 50) -> Column:
     return F.left(as_col(value), F.lit(width))
 

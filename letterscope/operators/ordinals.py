@@ -37,6 +37,16 @@ def with_ordinal(df: DataFrame, *order: str, name: str = "ordinal", partitions:
     )
 
 
+def positional_pairs(left: DataFrame, left_key: str, right: DataFrame, *right_keys: str) -> DataFrame:
+    """``left_key`` of left row *i* with ``right_keys`` of right row *i*, null beyond the right side's end.
+
+    Only key columns are read, numbered and moved; what belongs to the keys is
+    joined on afterwards, each side's rows moving once.  Keys are unique.
+    """
+    numbered = with_ordinal(left.select(left_key), left_key)
+    return positional_join(numbered, with_ordinal(right.select(*right_keys), *right_keys))
+
+
 def positional_join(left: DataFrame, right: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """Left row *i* with right row *i*; surplus right rows are dropped."""
     return left.join(right, ordinal, "left")
