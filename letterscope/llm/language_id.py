@@ -12,11 +12,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from letterscope.llm.common import labelled_rows
-from letterscope.llm.linear import fit, sigmoid
+from letterscope.llm.linear import fit_among, sigmoid
 from letterscope.llm.textvec import frames, laid_out
 
 # Families of ISO 639-1 codes.  A code not listed is a family of its own.
@@ -84,17 +84,17 @@ class Model:
         self.families = sorted(set(family))
         self.members = {f: [c for c in self.languages if FAMILY_OF.get(c, c) == f] for f in self.families}
         self.pairs = [p for f in self.families for p in combinations(self.members[f], 2)]
-        mean, spread = x.mean(axis=0), x.std(axis=0)
-        scale = 1.0 / (spread + np.float32(2e-4))
+        mean = x.mean(axis=0)
         x -= mean
-        x *= scale
-        x /= np.sqrt(x.shape[1])
+        spread = np.sqrt(np.einsum("ij,ij->j", x, x) / len(x))
+        scale = 1.0 / (spread + np.float32(2e-4))
+        x *= scale / np.float32(np.sqrt(x.shape[1]))
         columns, offsets = [], []
         own, family = np.array(languages), np.array(family)
         tasks = [(family == f, np.ones(len(own), bool)) for f in self.families if len(self.families) > 1]
         tasks += [(own == a, (own == a) | (own == b)) for a, b in self.pairs]
         for positive, among in tasks:
-            w, b = fit(x[among], np.where(positive[among], 1.0, -1.0).astype(np.float32), "hinge", 1e-3, STEPS)
+            w, b = fit_among(x, np.where(positive, 1.0, -1.0).astype(np.float32), among, 1e-3, STEPS)
             w = w * scale / np.sqrt(x.shape[1])
             columns.append(w)
             offsets.append(b - float(w @ mean))
@@ -143,8 +143,15 @@ class Model:
         return list(chosen), np.clip(score, 0.0, 1.0)
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
-    """A model from at most ``per_language`` documents of each language and ``MOST_ROWS`` in all, chosen by hash."""
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MOST_ROWS) -> Model | None:
+    """A model from at most ``per_language`` documents of each language and ``most_rows`` in all, chosen by hash.
+
+    Where the second limit binds, all languages give equally many as far as
+    they have them, so none is left out as long as ``most_rows`` is at least
+    their number.  An id that stands for several languages learns one of them,
+    the last by name.  The driver holds one matrix of the sample, at most
+    ``most_rows`` times the number of features in single precision.
+    """
     usable = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     rows = labelled_rows(usable.select("doc_id", "text"), usable.select("doc_id", "lang"), "lang", per_language, "text")
 
@@ -157,13 +164,21 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
 
     # Texts stay on the executors; a document's vector is bounded, whatever its length.
     vectors = rows.mapInPandas(run, "doc_id long, label string, held array<int>, share array<float>")
-    sample = vectors.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_ROWS).toPandas()
-    if not len(sample):
+    # At most ``per_language`` rows in each window.
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    table = vectors.withColumn("rank", rank).orderBy("rank", "label").limit(most_rows).select("label", "held", "share").toArrow()
+    if not table.num_rows:
         return None
-    x = np.zeros((len(sample), len(ORDERS) * DIMENSIONS), np.float32)
-    for i, (at, share) in enumerate(zip(sample["held"], sample["share"], strict=True)):
-        x[i, np.asarray(at, int)] = share
-    return Model(x, list(sample["label"]))
+    languages = table.column("label").to_pylist()
+    x = np.zeros((table.num_rows, len(ORDERS) * DIMENSIONS), np.float32)
+    row = 0
+    for batch in table.to_batches():
+        held, share = batch.column("held"), batch.column("share")
+        size = np.diff(held.offsets.to_numpy())
+        x[row + np.repeat(np.arange(len(size)), size), held.flatten().to_numpy()] = share.flatten().to_numpy()
+        row += len(size)
+    del table, batch, held, share
+    return Model(x, languages)
 
 
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
