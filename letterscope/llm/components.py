@@ -22,7 +22,7 @@ def _round(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
     lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
     return (
         large.join(lowest, "hi").filter("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))

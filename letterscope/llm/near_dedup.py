@@ -5,12 +5,13 @@
    in which every sample flips one bit) and a 128-bit fingerprint of the set.
 2. Equal fingerprints are one class; the rest works on one member of a class.
 3. Documents that share a band key are candidates.  Within a band key only a
-   few pivots are compared with all members, the most central first, and only
-   if they are not yet in one component.  Rounds use more pivots until every band key is settled, so
+   few pivots are compared with all members, and only if they are not yet in
+   one component.  Rounds use more pivots until every band key is settled, so
    no link between components is lost and a group of like texts costs a
    comparison for each member instead of one for each pair.
-4. The odd sketches' exclusive-or population count throws out pairs that are
-   too different already where they meet; the full sets decide on the others.
+4. Of the pairs, each taken once however many band keys it shares, the sizes of
+   the sets and the odd sketches' exclusive-or population count throw out those
+   that are too different; the full sets decide on the others.
 
 With 25 bands of 5 samples, a pair at the threshold of 0.85 shares no band with
 probability below 5e-7; more alike pairs are missed even more rarely.
@@ -137,96 +138,99 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 class NearDuplicates:
-    """Groups of near-duplicate documents, as two staged tables.
+    """Groups of near-duplicate documents, as staged tables.
 
     ``documents``: one row for each input row (doc_id, text_hash, n_shingles, node);
+    ``classes``: one row for each set (node, rep, its smallest id, and least, the row that stands for it);
     ``labels``: (node, root) of classes that are linked with another one.
     """
 
     def __init__(self, docs: DataFrame, width: int = 5, percent: int = 80):
         self.width, self.percent = width, percent
         signed = Staged(_signatures(docs, width), "signatures")
-        self.documents = signed.df
-        nodes = self.documents.filter("node is not null")
-        # One member of each class; equal sets have equal sketches, so any will do.
-        self.classes = nodes.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"),
-                                                 F.min("doc_id").alias("rep"))
-        chosen = self.classes.select("node", F.col("least.doc_id").alias("rep_id"), F.col("least.text_hash").alias("rep_hash"))
-        is_chosen = F.col("rep_id").eqNullSafe(F.col("doc_id")) & (F.col("rep_hash") == F.col("text_hash"))
-        distinct = nodes.join(chosen, "node").filter(is_chosen)
-        banded = Staged(distinct.select("node", F.posexplode("bands").alias("band", "bucket")), "bands")
-        shared = banded.df.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
-        crowded = banded.df.join(shared.filter("low <> high").select("bucket", "n"), "bucket")
-        # The node that shares most band keys is the likeliest to be linked with the others.
-        central = crowded.groupBy("node").agg((-F.sum("n")).alias("outside"))
-        details = distinct.select("node", "bands", "sketch").join(central, "node").dropDuplicates(["node"])
-        members = Staged(crowded.drop("n").distinct().join(details, "node"), "members")
-        banded.drop()
-        involved = members.df.select("node").distinct()
-        texts = self._texts(docs, chosen, involved)
-        sets = Staged(_sets(texts, width), "sets")
-        self.labels = self._links(members.df, sets.df)
-        for staged in (members, sets):
+        self.documents = signed.df.select("doc_id", "text_hash", "n_shingles", "node")
+        # Equal sets have equal bands and sketches, so any row of a class will do.
+        same = [F.any_value(c).alias(c) for c in ("n_shingles", "bands", "sketch")]
+        classes = Staged(signed.df.filter("node is not null").groupBy("node").agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("least"), F.min("doc_id").alias("rep"), *same), "classes")
+        self.classes = classes.df.select("node", "rep", "least")
+        banded = classes.df.select("node", F.explode("bands").alias("bucket"))
+        shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+        # Places of nodes in an order by hash, from 0 to 1, the same in every bucket.
+        place = (F.xxhash64("node", F.lit(7)).cast("double") / F.lit(2.0**64) + 0.5).alias("place")
+        members = Staged(banded.join(shared, "bucket").select("bucket", "n", "node", place), "members")
+        involved = Staged(members.df.select("node").distinct(), "involved")
+        details = Staged(classes.df.join(involved.df, "node").select("node", "n_shingles", "sketch"), "sketches")
+        sets = Staged(_sets(self._texts(docs, involved.df), width), "sets")
+        involved.drop()
+        self.labels = self._links(members.df, details.df, sets.df)
+        for staged in (members, details, sets):
             staged.drop()
 
-    @staticmethod
-    def _texts(docs: DataFrame, chosen: DataFrame, involved: DataFrame) -> DataFrame:
+    def _texts(self, docs: DataFrame, involved: DataFrame) -> DataFrame:
         """(node, text) of the classes that share a band key with another one."""
-        wanted = chosen.join(involved, "node", "left_semi").withColumnRenamed("rep_hash", "text_hash")
+        wanted = self.classes.join(involved, "node", "left_semi").select(
+            "node", F.col("least.doc_id").alias("rep_id"), F.col("least.text_hash").alias("text_hash"))
         return (
             _identified(docs).join(wanted, "text_hash").filter(F.col("doc_id").eqNullSafe(F.col("rep_id")))
             .select("node", "text").dropDuplicates(["node"])
         )
 
-    def _links(self, members: DataFrame, sets: DataFrame) -> Staged:
-        """Components of the confirmed links between classes."""
-        middle = members.groupBy("bucket").agg(F.min(F.struct("outside", "node")).alias("least")).select("bucket", F.col("least.node").alias("node"))
-        pairs = self._pairs(members, members.join(middle, ["bucket", "node"], "left_semi"), F.lit(True))
-        edges = [Staged(self._confirmed(pairs, sets), "links")]
-        parts = components(edges[0].df, "a", "b")
-        seen, more = 1, 128
-        while True:
-            placed = members.join(parts.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-            open_ = open_.filter((F.col("low") != F.col("high")) & (F.col("n") > seen)).select("bucket")
-            unsettled = Staged(placed.join(open_, "bucket"), "unsettled")
-            if unsettled.df.isEmpty():
-                unsettled.drop()
-                break
-            # Ranks are limited inside each task first, so a hot band key does not gather in one.
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("outside", "node"))
-            ranked = unsettled.df.select("bucket", "outside", "node").withColumn("rank", rank).filter(F.col("rank") <= seen + more)
-            pivots = unsettled.df.join(ranked.filter(F.col("rank") > seen).select("bucket", "node"), ["bucket", "node"], "left_semi")
-            apart = F.col("root") != F.col("a_root")
-            edges.append(Staged(self._confirmed(self._pairs(unsettled.df, pivots, apart), sets), "links"))
-            unsettled.drop()
-            every = edges[0].df
-            for other in edges[1:]:
-                every = every.union(other.df)
-            parts.drop()
-            parts = components(every, "a", "b")
-            seen, more = seen + more, more * 32
-        for staged in edges:
-            staged.drop()
-        return parts
-
-    def _pairs(self, members: DataFrame, pivots: DataFrame, wanted: Column) -> DataFrame:
-        """Members against the pivots of their band key, where the odd sketches allow a link.
+    def _links(self, members: DataFrame, details: DataFrame, sets: DataFrame) -> Staged:
+        """Components of the confirmed links between classes.
 
-        A pair counts in the first band key that both share only.
+        Each round compares the members of a bucket with its pivots of that
+        round, unless they are in one component already.  A node is a pivot
+        when its place, times the bucket's size, falls between ``low`` and
+        ``high``: about ``high - low`` nodes of each bucket, the same ones in
+        most buckets that share them, and all once ``high`` reaches its size.
         """
-        named = pivots.select("bucket", *(F.col(c).alias(f"a_{c}") for c in pivots.columns if c not in ("bucket", "band")))
-        differing = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("a_sketch", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
-        earlier = F.arrays_overlap(F.slice("bands", F.lit(1), F.col("band")), F.col("a_bands"))
-        met = wanted & (F.col("node") != F.col("a_node")) & (differing <= far_apart(self.percent)) & ~earlier
+        active, parts = Staged(members.withColumn("root", F.col("node")), "active"), None
+        low, high = 0, 2
+        while True:
+            rank = F.col("place") * F.col("n")
+            pivots = active.df.filter((rank >= low) & (rank < high)).select(
+                "bucket", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
+            met = active.df.join(pivots, "bucket").filter("root <> pivot_root")
+            pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+            likely = Staged(self._likely(pairs, details), "pairs")
+            links = self._confirmed(likely.df, sets)
+            # Earlier links are held by the labels.
+            found = links if parts is None else links.union(parts.df.filter("node <> root").select(
+                F.col("node").alias("a"), F.col("root").alias("b")))
+            merged = components(found, "a", "b")
+            likely.drop()
+            if parts is not None:
+                parts.drop()
+            parts = merged
+            low, high = high, high * 16
+            # A bucket is settled when all members have been pivots, or are in one component.
+            rest = active.df.filter(F.col("n") > low).drop("root").join(parts.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            split = rest.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first <> last")
+            following = Staged(rest.join(split.select("bucket"), "bucket").select("bucket", "n", "node", "place", "root"), "active")
+            active.drop()
+            active = following
+            if active.df.isEmpty():
+                active.drop()
+                return parts
+
+    def _likely(self, pairs: DataFrame, details: DataFrame) -> DataFrame:
+        """Pairs whose sizes and odd sketches allow a link."""
+        def side(name: str) -> DataFrame:
+            return details.select(F.col("node").alias(name), F.col("n_shingles").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+
+        differing = sum((F.bit_count(F.get("a_sketch", F.lit(i)).bitwiseXOR(F.get("b_sketch", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+        sizes = 100 * F.least("a_n", "b_n") >= self.percent * F.greatest("a_n", "b_n")
         return (
-            members.join(named, (members["bucket"] == named["bucket"]) & met)
-            .select(F.least("a_node", "node").alias("a"), F.greatest("a_node", "node").alias("b")).distinct()
+            pairs.join(side("a"), "a").join(side("b"), "b")
+            .filter(sizes).filter(differing <= far_apart(self.percent)).select("a", "b")
         )
 
     def _confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs whose full sets are alike enough; only sets of nodes in ``pairs`` move."""
         def side(name: str) -> DataFrame:
-            return sets.select(F.col("node").alias(name), F.col("members").alias(f"{name}_set"))
+            asked = pairs.select(F.col(name).alias("node")).distinct()
+            return sets.join(asked, "node", "left_semi").select(F.col("node").alias(name), F.col("members").alias(f"{name}_set"))
 
         common = F.size(F.array_intersect("a_set", "b_set"))
         union = F.size("a_set") + F.size("b_set") - common
@@ -242,7 +246,7 @@ class NearDuplicates:
         named = linked.join(least, "root").select("node", "smallest")
         component = F.coalesce("smallest", "rep", "doc_id")
         return (
-            self.documents.drop("bands", "sketch")
+            self.documents
             .join(self.classes.select("node", "rep"), "node", "left").join(named, "node", "left")
             .select("doc_id", "n_shingles", component.alias("component_id"),
                     F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "text_hash")
@@ -280,12 +284,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def first_of_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One whole row of ``docs`` for each group of near duplicates: the one of the smallest doc_id.
+    """One whole row of ``docs`` for each group of near duplicates: one of the smallest doc_id.
 
-    Documents without words stay.  Of repeated rows one stays.
+    Documents without words stay.  Of rows with one id and text the one whose
+    columns have the least hash stays, so a rerun keeps the same.  Columns may
+    have any names.
     """
-    kept = NearDuplicates(docs, width, percent).firsts()
-    marked = docs.withColumn("__hash", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
-    same = kept.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
-    found = marked.join(same, (F.col("__text") == F.col("__hash")) & F.col("__id").eqNullSafe(docs["doc_id"]), "left_semi")
-    return found.dropDuplicates(["__hash", "doc_id"]).drop("__hash")
+    kept = NearDuplicates(docs, width, percent).firsts().select(F.struct("doc_id", "text_hash").alias("key"))
+    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    rows = docs.select(F.struct(F.col("doc_id"), text.alias("text_hash")).alias("key"), F.struct("*").alias("row"))
+    mine = F.struct(F.col("key.text_hash").alias("text_hash"), F.col("key.doc_id").alias("doc_id"))
+    found = rows.join(kept.select(F.col("key").alias("chosen")),
+                      (F.col("key.text_hash") == F.col("chosen.text_hash")) & F.col("key.doc_id").eqNullSafe(F.col("chosen.doc_id")), "left_semi")
+    first = F.min_by("row", F.xxhash64("row")).alias("row")
+    return found.groupBy(mine.alias("key")).agg(first).select("row.*")
