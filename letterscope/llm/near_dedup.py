@@ -154,23 +154,26 @@ class NearDuplicates:
         classes = Staged(signed.df.filter("node is not null").groupBy("node").agg(
             F.min(F.struct("doc_id", "text_hash")).alias("least"), F.min("doc_id").alias("rep"), *same), "classes")
         self.classes = classes.df.select("node", "rep", "least")
-        banded = classes.df.select("node", F.explode("bands").alias("bucket"))
+        banded = classes.df.select("node", "n_shingles", F.explode("bands").alias("bucket"))
         shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
         # Places of nodes in an order by hash, from 0 to 1, the same in every bucket.
         place = (F.xxhash64("node", F.lit(7)).cast("double") / F.lit(2.0**64) + 0.5).alias("place")
-        members = Staged(banded.join(shared, "bucket").select("bucket", "n", "node", place), "members")
+        members = Staged(banded.join(shared, "bucket").select("bucket", "n", "node", "n_shingles", place), "members")
         involved = Staged(members.df.select("node").distinct(), "involved")
-        details = Staged(classes.df.join(involved.df, "node").select("node", "n_shingles", "sketch"), "sketches")
-        sets = Staged(_sets(self._texts(docs, involved.df), width), "sets")
-        involved.drop()
+        details = Staged(classes.df.join(involved.df, "node").select("node", "sketch"), "sketches")
+        # Stored, so that its size is known where texts are joined with it.
+        wanted = Staged(self.classes.join(involved.df, "node").select(
+            "node", F.col("least.doc_id").alias("rep_id"), F.col("least.text_hash").alias("text_hash")), "wanted")
+        sets = Staged(_sets(self._texts(docs, wanted.df), width), "sets")
+        for staged in (involved, wanted):
+            staged.drop()
         self.labels = self._links(members.df, details.df, sets.df)
         for staged in (members, details, sets):
             staged.drop()
 
-    def _texts(self, docs: DataFrame, involved: DataFrame) -> DataFrame:
+    @staticmethod
+    def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         """(node, text) of the classes that share a band key with another one."""
-        wanted = self.classes.join(involved, "node", "left_semi").select(
-            "node", F.col("least.doc_id").alias("rep_id"), F.col("least.text_hash").alias("text_hash"))
         return (
             _identified(docs).join(wanted, "text_hash").filter(F.col("doc_id").eqNullSafe(F.col("rep_id")))
             .select("node", "text").dropDuplicates(["node"])
@@ -190,8 +193,9 @@ class NearDuplicates:
         while True:
             rank = F.col("place") * F.col("n")
             pivots = active.df.filter((rank >= low) & (rank < high)).select(
-                "bucket", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-            met = active.df.join(pivots, "bucket").filter("root <> pivot_root")
+                "bucket", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"), F.col("n_shingles").alias("pivot_n"))
+            sizes = 100 * F.least("n_shingles", "pivot_n") >= self.percent * F.greatest("n_shingles", "pivot_n")
+            met = active.df.join(pivots, "bucket").filter(sizes & (F.col("root") != F.col("pivot_root")))
             pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
             likely = Staged(self._likely(pairs, details), "pairs")
             links = self._confirmed(likely.df, sets)
@@ -203,11 +207,11 @@ class NearDuplicates:
             if parts is not None:
                 parts.drop()
             parts = merged
-            low, high = high, high * 16
+            low, high = high, high * 4
             # A bucket is settled when all members have been pivots, or are in one component.
             rest = active.df.filter(F.col("n") > low).drop("root").join(parts.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
             split = rest.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first <> last")
-            following = Staged(rest.join(split.select("bucket"), "bucket").select("bucket", "n", "node", "place", "root"), "active")
+            following = Staged(rest.join(split.select("bucket"), "bucket").select("bucket", "n", "node", "n_shingles", "place", "root"), "active")
             active.drop()
             active = following
             if active.df.isEmpty():
@@ -215,15 +219,14 @@ class NearDuplicates:
                 return parts
 
     def _likely(self, pairs: DataFrame, details: DataFrame) -> DataFrame:
-        """Pairs whose sizes and odd sketches allow a link."""
+        """Pairs whose odd sketches allow a link."""
         def side(name: str) -> DataFrame:
-            return details.select(F.col("node").alias(name), F.col("n_shingles").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+            return details.select(F.col("node").alias(name), F.col("sketch").alias(f"{name}_sketch"))
 
         differing = sum((F.bit_count(F.get("a_sketch", F.lit(i)).bitwiseXOR(F.get("b_sketch", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
-        sizes = 100 * F.least("a_n", "b_n") >= self.percent * F.greatest("a_n", "b_n")
         return (
             pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter(sizes).filter(differing <= far_apart(self.percent)).select("a", "b")
+            .filter(differing <= far_apart(self.percent)).select("a", "b")
         )
 
     def _confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
