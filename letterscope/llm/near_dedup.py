@@ -5,13 +5,12 @@
    in which every sample flips one bit) and a 128-bit fingerprint of the set.
 2. Equal fingerprints are one class; the rest works on one member of a class.
 3. Documents that share a band key are candidates.  Within a band key only a
-   few pivots are compared with all members, and only if they are not yet in
-   one component.  Rounds use more pivots until every band key is settled, so
+   few pivots are compared with all members, the most central first, and only
+   if they are not yet in one component.  Rounds use more pivots until every band key is settled, so
    no link between components is lost and a group of like texts costs a
    comparison for each member instead of one for each pair.
-4. Of the pairs, each taken once however many band keys it shares, the sizes of
-   the sets and the odd sketches' exclusive-or population count throw out those
-   that are too different; the full sets decide on the others.
+4. The odd sketches' exclusive-or population count throws out pairs that are
+   too different already where they meet; the full sets decide on the others.
 
 With 25 bands of 5 samples, a pair at the threshold of 0.85 shares no band with
 probability below 5e-7; more alike pairs are missed even more rarely.
@@ -154,21 +153,21 @@ class NearDuplicates:
         classes = Staged(signed.df.filter("node is not null").groupBy("node").agg(
             F.min(F.struct("doc_id", "text_hash")).alias("least"), F.min("doc_id").alias("rep"), *same), "classes")
         self.classes = classes.df.select("node", "rep", "least")
-        banded = classes.df.select("node", "n_shingles", F.explode("bands").alias("bucket"))
-        shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-        # Places of nodes in an order by hash, from 0 to 1, the same in every bucket.
-        place = (F.xxhash64("node", F.lit(7)).cast("double") / F.lit(2.0**64) + 0.5).alias("place")
-        members = Staged(banded.join(shared, "bucket").select("bucket", "n", "node", "n_shingles", place), "members")
-        involved = Staged(members.df.select("node").distinct(), "involved")
-        details = Staged(classes.df.join(involved.df, "node").select("node", "sketch"), "sketches")
+        banded = Staged(classes.df.select("node", F.posexplode("bands").alias("band", "bucket")), "bands")
+        shared = banded.df.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
+        crowded = banded.df.join(shared.filter("low <> high").select("bucket", "n"), "bucket")
+        # The node that shares most band keys is the likeliest to be linked with the others.
+        central = crowded.groupBy("node").agg((-F.sum("n")).alias("outside"))
+        details = classes.df.select("node", "n_shingles", "bands", "sketch").join(central, "node")
+        members = Staged(crowded.drop("n").join(details, "node"), "members")
+        banded.drop()
         # Stored, so that its size is known where texts are joined with it.
-        wanted = Staged(self.classes.join(involved.df, "node").select(
+        wanted = Staged(self.classes.join(members.df.select("node").distinct(), "node").select(
             "node", F.col("least.doc_id").alias("rep_id"), F.col("least.text_hash").alias("text_hash")), "wanted")
         sets = Staged(_sets(self._texts(docs, wanted.df), width), "sets")
-        for staged in (involved, wanted):
-            staged.drop()
-        self.labels = self._links(members.df, details.df, sets.df)
-        for staged in (members, details, sets):
+        wanted.drop()
+        self.labels = self._links(members.df, sets.df)
+        for staged in (members, sets):
             staged.drop()
 
     @staticmethod
@@ -179,61 +178,53 @@ class NearDuplicates:
             .select("node", "text").dropDuplicates(["node"])
         )
 
-    def _links(self, members: DataFrame, details: DataFrame, sets: DataFrame) -> Staged:
-        """Components of the confirmed links between classes.
-
-        Each round compares the members of a bucket with its pivots of that
-        round, unless they are in one component already.  A node is a pivot
-        when its place, times the bucket's size, falls between ``low`` and
-        ``high``: about ``high - low`` nodes of each bucket, the same ones in
-        most buckets that share them, and all once ``high`` reaches its size.
-        """
-        active, parts = Staged(members.withColumn("root", F.col("node")), "active"), None
-        low, high = 0, 2
+    def _links(self, members: DataFrame, sets: DataFrame) -> Staged:
+        """Components of the confirmed links between classes."""
+        middle = members.groupBy("bucket").agg(F.min(F.struct("outside", "node")).alias("least")).select("bucket", F.col("least.node").alias("node"))
+        pairs = self._pairs(members, members.join(middle, ["bucket", "node"], "left_semi"), F.lit(True))
+        parts = components(self._confirmed(pairs, sets), "a", "b")
+        seen, more = 1, 128
         while True:
-            rank = F.col("place") * F.col("n")
-            pivots = active.df.filter((rank >= low) & (rank < high)).select(
-                "bucket", F.col("node").alias("pivot"), F.col("root").alias("pivot_root"), F.col("n_shingles").alias("pivot_n"))
-            sizes = 100 * F.least("n_shingles", "pivot_n") >= self.percent * F.greatest("n_shingles", "pivot_n")
-            met = active.df.join(pivots, "bucket").filter(sizes & (F.col("root") != F.col("pivot_root")))
-            pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-            likely = Staged(self._likely(pairs, details), "pairs")
-            links = self._confirmed(likely.df, sets)
+            placed = members.join(parts.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+            open_ = open_.filter((F.col("low") != F.col("high")) & (F.col("n") > seen)).select("bucket")
+            unsettled = Staged(placed.join(open_, "bucket"), "unsettled")
+            if unsettled.df.isEmpty():
+                unsettled.drop()
+                break
+            # Ranks are limited inside each task first, so a hot band key does not gather in one.
+            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("outside", "node"))
+            ranked = unsettled.df.select("bucket", "outside", "node").withColumn("rank", rank).filter(F.col("rank") <= seen + more)
+            pivots = unsettled.df.join(ranked.filter(F.col("rank") > seen).select("bucket", "node"), ["bucket", "node"], "left_semi")
+            apart = F.col("root") != F.col("a_root")
+            links = self._confirmed(self._pairs(unsettled.df, pivots, apart), sets)
             # Earlier links are held by the labels.
-            found = links if parts is None else links.union(parts.df.filter("node <> root").select(
-                F.col("node").alias("a"), F.col("root").alias("b")))
-            merged = components(found, "a", "b")
-            likely.drop()
-            if parts is not None:
-                parts.drop()
+            labels = parts.df.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            merged = components(links.union(labels), "a", "b")
+            for staged in (unsettled, parts):
+                staged.drop()
             parts = merged
-            low, high = high, high * 4
-            # A bucket is settled when all members have been pivots, or are in one component.
-            rest = active.df.filter(F.col("n") > low).drop("root").join(parts.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            split = rest.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last")).filter("first <> last")
-            following = Staged(rest.join(split.select("bucket"), "bucket").select("bucket", "n", "node", "n_shingles", "place", "root"), "active")
-            active.drop()
-            active = following
-            if active.df.isEmpty():
-                active.drop()
-                return parts
-
-    def _likely(self, pairs: DataFrame, details: DataFrame) -> DataFrame:
-        """Pairs whose odd sketches allow a link."""
-        def side(name: str) -> DataFrame:
-            return details.select(F.col("node").alias(name), F.col("sketch").alias(f"{name}_sketch"))
+            seen, more = seen + more, more * 32
+        return parts
+
+    def _pairs(self, members: DataFrame, pivots: DataFrame, wanted: Column) -> DataFrame:
+        """Members against the pivots of their band key, where the odd sketches allow a link.
 
-        differing = sum((F.bit_count(F.get("a_sketch", F.lit(i)).bitwiseXOR(F.get("b_sketch", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+        A pair counts in the first band key that both share only.
+        """
+        named = pivots.select("bucket", *(F.col(c).alias(f"a_{c}") for c in pivots.columns if c not in ("bucket", "band")))
+        differing = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("a_sketch", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+        earlier = F.arrays_overlap(F.slice("bands", F.lit(1), F.col("band")), F.col("a_bands"))
+        sizes = 100 * F.least("n_shingles", "a_n_shingles") >= self.percent * F.greatest("n_shingles", "a_n_shingles")
+        met = wanted & (F.col("node") != F.col("a_node")) & sizes & (differing <= far_apart(self.percent)) & ~earlier
         return (
-            pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter(differing <= far_apart(self.percent)).select("a", "b")
+            members.join(named, (members["bucket"] == named["bucket"]) & met)
+            .select(F.least("a_node", "node").alias("a"), F.greatest("a_node", "node").alias("b")).distinct()
         )
 
     def _confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs whose full sets are alike enough; only sets of nodes in ``pairs`` move."""
         def side(name: str) -> DataFrame:
-            asked = pairs.select(F.col(name).alias("node")).distinct()
-            return sets.join(asked, "node", "left_semi").select(F.col("node").alias(name), F.col("members").alias(f"{name}_set"))
+            return sets.select(F.col("node").alias(name), F.col("members").alias(f"{name}_set"))
 
         common = F.size(F.array_intersect("a_set", "b_set"))
         union = F.size("a_set") + F.size("b_set") - common
