@@ -8,7 +8,7 @@ from letterscope.catalog.adapters import MESSAGES_SQL, message_text, messages, t
 from letterscope.catalog.traffic import EXPORT, RECORD_SQL, _VALID, _WS, _private, _valid4, records
 from letterscope.functions import dates, html, search
 from letterscope.functions.text import strip_or_null
-from letterscope.operators import checked_load, loading, mime, ordinals, reports
+from letterscope.operators import checked_load, loading, mail_search, mime, ordinals, reports
 from letterscope.schemas import CONTENT, FINAL_DOCUMENT, MESSAGE
 from letterscope.sources import documents as sources
 from letterscope.staging import new_path, stage
@@ -597,3 +597,53 @@ def load_content_docs(spark, sf_dir):
 @query("load_content_outcomes", f"WITH {_LOADED_CONTENT} SELECT reason IS NULL AS accepted, reason, count(*) AS n FROM l GROUP BY 1, 2")
 def load_content_outcomes(spark, sf_dir):
     return loaded_content(spark, sf_dir).outcomes(spark)
+
+
+@query("parse_summary_file", f"""WITH {M} SELECT count(*) AS total_files, count(*) FILTER (doc_id % 17 <> 5) AS successfully_parsed,
+    count(*) FILTER (doc_id % 17 = 5) AS failed, count(*) FILTER (shape = 0 AND doc_id % 17 <> 5) AS with_attachments,
+    count(*) FILTER (shape = 0 AND doc_id % 17 <> 5) AS total_attachments,
+    count(DISTINCT sender) FILTER (doc_id % 17 <> 5) AS unique_senders,
+    count(DISTINCT recipient) FILTER (doc_id % 17 <> 5) AS unique_recipients, '2025-02-03T04:05:06.000000' AS parsing_time FROM m""")
+def parse_summary_file(spark, sf_dir):
+    """The summary written as JSON and read back; some messages are lost on the way and fail."""
+    path = new_path(spark, "summary")
+    mail = messages(spark, sf_dir).drop("path").withColumn("file_id", F.col("doc_id"))
+    lost = mail.withColumn("content", F.when(F.col("doc_id") % 17 != 5, F.col("content")))
+    found = mime.parse_content(lost).select("parse_error", "attachments", "metadata")
+    reports.write_summary(found, path, F.lit("2025-02-03 04:05:06").cast("timestamp"))
+    counts = ("total_files", "successfully_parsed", "failed", "with_attachments", "total_attachments", "unique_senders", "unique_recipients")
+    return spark.read.schema(", ".join(f"{c} bigint" for c in counts) + ", parsing_time string").json(path)
+
+
+# --- search in parsed mail ------------------------------------------------
+# (query, all terms wanted, fields)
+_MAIL_QUERIES = {
+    1: ("Email PASSWORD", False, None), 2: ("report from SRC1", True, ["subject"]), 3: ("reader5 license", True, None),
+    4: ("the of and", False, None), 5: ("en.example.com", True, ["from"]), 6: ("html license", True, ["html", "text"]),
+}
+
+
+def _analyzed_sql(x: str) -> str:
+    return _ANALYZED.replace("lower(text)", f"lower(coalesce({x}, ''))")
+
+
+_FIELD_SQL = {"from": "sender", "to": "recipient", "subject": "subject", "text": "CASE WHEN shape < 2 THEN text END",
+              "html": "CASE WHEN shape = 2 THEN page END"}
+
+
+def _found_sql(number: int) -> str:
+    text, wants_all, fields = _MAIL_QUERIES[number]
+    words = " || ".join(f"{_analyzed_sql(_FIELD_SQL[f])}" for f in fields or _FIELD_SQL)
+    terms = f"list_distinct({_analyzed_sql(repr(text))})"
+    enough = f"terms_met = len({terms})" if wants_all else "terms_met >= 1"
+    return f"""SELECT {number} AS query_id, doc_id, terms_met, occurrences FROM (SELECT doc_id,
+        len(list_intersect(list_distinct(w), {terms})) AS terms_met, len(list_filter(w, lambda x: list_contains({terms}, x))) AS occurrences
+        FROM (SELECT doc_id, {words} AS w FROM m)) WHERE {enough} AND terms_met >= 1"""
+
+
+@query("search_mail", f"WITH {M} " + " UNION ALL ".join(_found_sql(n) for n in _MAIL_QUERIES))
+def search_mail(spark, sf_dir):
+    """Several queries over sender, recipient, subject and bodies of all messages in one join."""
+    asked = spark.createDataFrame([(n, *q) for n, q in _MAIL_QUERIES.items()],
+                                  "query_id int, query string, wants_all boolean, fields array<string>")
+    return mail_search.search(mail_search.mail_terms(content(spark, sf_dir), "doc_id"), "doc_id", asked)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from letterscope.functions.text import as_col, bind, strip
 
 # Fixed values -------------------------------------------------------------
-MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+DAYS = "mon|tue|wed|thu|fri|sat|sun"
 # Zone names of RFC 2822 and their offsets as +-HHMM.
 ZONES = {
     "UT": 0, "UTC": 0, "GMT": 0, "Z": 0,
@@ -26,11 +27,9 @@ ISO_DATE = (
 )
 # --------------------------------------------------------------------------
 
-_MARK = "\x01"
-_MAIL_DATE = (
-    r"^(?:[A-Za-z]+\s*,?\s+|[A-Za-z]+,)?([0-9]{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*[.]?[\s-]+([0-9]{2,4})\s+"
-    r"([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2}))?(?:\s+([+-][0-9]{4}|[A-Za-z]+))?\s*\z"
-)
+_MONTH_OF = {name: i for i, full in enumerate(MONTHS, 1) for name in (full, full[:3])}
+_CLOCK = r"^[0-9]{1,2}((:[0-9]{1,2}){1,2}|([.][0-9]{1,2}){1,2})\z"
+_DAY_SECONDS = 86400
 
 
 def _seconds(hhmm: Column) -> Column:
@@ -46,34 +45,44 @@ def _full_year(year: Column) -> Column:
 def mail_date(value: Column | str) -> Column:
     """RFC 2822 date to ``struct<instant timestamp, offset_seconds int, iso string>``.
 
-    Weekday and trailing comment are optional and unchecked.  A zone of
-    ``-0000``, an unknown zone name or no zone leaves ``offset_seconds`` null
-    and reads the clock as UTC.  Unreadable text gives null.
+    Every word is told by its form, wherever it stands: a month's name, a clock
+    with colons or dots, numbers (the day, then the year, then a zone without
+    sign), and what is left is the zone.  A weekday before and a comment behind
+    are unchecked.  A zone of ``-0000``, one that is neither a number nor known,
+    or none leaves ``offset_seconds`` null and reads the clock as UTC.
+    Unreadable text, a leap second and an offset of a day or more give null.
     """
     text = F.regexp_replace(strip(value), r"(\s*\([^()]*\))+\s*\z", "")
-    # One match gives all seven pieces.
-    marked = F.regexp_replace(text, _MAIL_DATE, "".join(f"{_MARK}${i}" for i in range(1, 8)))
-    return bind(F.split(marked, _MARK, -1), _read)
-
-
-def _read(pieces: Column) -> Column:
-    def p(i: int) -> Column:
-        return F.get(pieces, F.lit(i))
-
-    def number(i: int) -> Column:
-        return p(i).try_cast("int")
-
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(p(2))).cast("int")
-    clock = F.try_make_timestamp_ntz(
-        _full_year(number(3)), F.nullif(month, F.lit(0)), number(1), number(4), number(5),
-        F.coalesce(p(6).try_cast("decimal(16,6)"), F.lit(0).cast("decimal(16,6)")),
+    text = F.regexp_replace(text, rf"(?i)^([a-z]+\s*,|({DAYS})\s)\s*", "")
+    text = F.regexp_replace(text, r"^([0-9]+)-([A-Za-z]+)-([0-9]+)\b", "$1 $2 $3")
+    text = F.regexp_replace(text, r"([:.][0-9]{1,2})([+-])", "$1 $2")
+    words = F.split(strip(F.regexp_replace(text, r"([0-9]),(\s|\z)", "$1 ")), r"\s+")
+    return bind(words, _read)
+
+
+def _read(words: Column) -> Column:
+    months = F.create_map(*[F.lit(x) for pair in _MONTH_OF.items() for x in pair])
+
+    def at(found: Column, i: int) -> Column:
+        return F.get(found, F.lit(i))
+
+    named = F.filter(words, lambda w: months[F.lower(w)].isNotNull())
+    clocks = F.filter(words, lambda w: w.rlike(_CLOCK))
+    numbers = F.filter(words, lambda w: w.rlike(r"^[0-9]+\z"))
+    others = F.filter(words, lambda w: months[F.lower(w)].isNull() & ~w.rlike(_CLOCK) & ~w.rlike(r"^[0-9]+\z"))
+    clock = F.split(at(clocks, 0), "[:.]")
+    second = F.coalesce(at(clock, 2).try_cast("int"), F.lit(0))
+    made = F.try_make_timestamp_ntz(
+        _full_year(at(numbers, 1).try_cast("int")), months[F.lower(at(named, 0))], at(numbers, 0).try_cast("int"),
+        at(clock, 0).try_cast("int"), at(clock, 1).try_cast("int"), second.cast("decimal(16,6)"),
     ).cast("timestamp")
-    clock = F.when((F.size(pieces) == 8) & (p(0) == ""), clock)
-    zone = p(7)
+    zone = F.coalesce(at(others, 0), at(numbers, 2))
     names = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
-    numeric = F.when(zone.rlike("^[+-]") & (zone != "-0000"), zone.try_cast("int"))
+    numeric = F.when(zone.rlike(r"^[+-]?[0-9]+\z") & ~zone.rlike(r"^-0+\z"), zone.try_cast("int"))
     offset = bind(F.coalesce(numeric, names[F.upper(zone)]), _seconds)
-    return bind(F.struct(clock.alias("clock"), offset.alias("offset")), _show)
+    # A word of no known form before the date is not part of one.
+    sound = (second < 60) & ~(at(words, 0) == F.coalesce(at(others, 0), F.lit(""))) & (F.size(words) <= 6)
+    return bind(F.struct(made.alias("clock"), offset.alias("offset"), sound.alias("sound")), _show)
 
 
 def _show(d: Column) -> Column:
@@ -91,7 +100,8 @@ def _show(d: Column) -> Column:
         offset.alias("offset_seconds"),
         F.concat(F.date_format(clock, "yyyy-MM-dd'T'HH:mm:ss"), F.coalesce(shown, F.lit(""))).alias("iso"),
     )
-    return F.when(clock.isNotNull(), parsed)
+    within = F.coalesce(F.abs(offset) < _DAY_SECONDS, F.lit(True))
+    return F.when(clock.isNotNull() & d["sound"] & within, parsed)
 
 
 def strict_date(value: Column | str) -> Column:

@@ -123,6 +123,13 @@ def parse_summary(content: DataFrame) -> DataFrame:
     )
 
 
+def write_summary(content: DataFrame, path: str, at: Column | None = None) -> None:
+    """The parse summary as one JSON object below ``path``, with its time (now, unless given)."""
+    time = F.current_timestamp() if at is None else at
+    summary = parse_summary(content).select("*", F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("parsing_time"))
+    summary.coalesce(1).write.json(path)
+
+
 def correspondents(content: DataFrame) -> DataFrame:
     """Distinct raw sender and recipient headers as rows: ``role, address``."""
     pairs = F.array(
