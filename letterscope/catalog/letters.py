@@ -198,13 +198,10 @@ def scan_messages(spark, sf_dir):
 
 
 # --- messages, second form ------------------------------------------------
-def content(spark, sf_dir, **options):
-    return mime.parse_content(messages(spark, sf_dir).drop("path").withColumn("file_id", F.col("doc_id")), **options)
-
-
-def parsed_content(spark, sf_dir):
-    """The parsed table, stored once as the pipeline does."""
-    return stage(content(spark, sf_dir).drop("raw_body"), "content")
+def content(spark, sf_dir, ids=None, **options):
+    """Parsed messages; with ``ids`` only those files reach the parser."""
+    mail = messages(spark, sf_dir).drop("path").withColumn("file_id", F.col("doc_id"))
+    return mime.parse_content(mail if ids is None else mail.filter(F.col("doc_id").isin(ids)), **options)
 
 
 _SECOND = """doc_id, filename, message_id, date, sender, recipient, cc, subject,
@@ -374,7 +371,7 @@ _ID_LIST = ", ".join(str(i) for i in _IDS)
 
 @query("messages_by_id", f"WITH {M} SELECT doc_id, subject FROM m WHERE doc_id IN ({_ID_LIST})")
 def messages_by_id(spark, sf_dir):
-    return content(spark, sf_dir).filter(F.col("file_id").isin(_IDS)).select("doc_id", "metadata.subject")
+    return content(spark, sf_dir, _IDS).select("doc_id", "metadata.subject")
 
 
 @query("attachment_ids", f"WITH {M} SELECT doc_id AS file_id, 1 AS attachments FROM m WHERE shape = 0 AND doc_id <> 0")
@@ -393,14 +390,14 @@ def attachment_id_counts(spark, sf_dir):
          ELSE 'NOT FOUND' END AS status FROM ids""")
 def id_status(spark, sf_dir):
     ids = spark.createDataFrame([(i,) for i in _IDS], "file_id bigint")
-    return reports.id_status(ids, parsed_content(spark, sf_dir))
+    return reports.id_status(ids, content(spark, sf_dir, _IDS))
 
 
 @query("flag_counts", f"""WITH {M}, f AS (SELECT * FROM m)
     SELECT count(*) FILTER (shape = 0) AS flag_true, count(*) FILTER (shape <> 0) AS flag_false,
     count(*) AS checked FROM f""")
 def flag_counts(spark, sf_dir):
-    return reports.flag_counts(mime.enrich(parsed_content(spark, sf_dir)), "filename")
+    return reports.flag_counts(mime.enrich(content(spark, sf_dir)), "filename")
 
 
 @query("attachment_totals", f"""WITH {M} SELECT count(*) AS messages, count(*) FILTER (shape <> 1) AS attachments,
@@ -428,13 +425,13 @@ def attachment_report(spark, sf_dir):
 
 @query("keyword_match", f"WITH {M} SELECT doc_id FROM m WHERE sender = 'src1@en.example.com'")
 def keyword_match(spark, sf_dir):
-    found = parsed_content(spark, sf_dir).filter(F.col("metadata.from") == "src1@en.example.com")
+    found = content(spark, sf_dir).filter(F.col("metadata.from") == "src1@en.example.com")
     return found.select("doc_id")
 
 
 @query("sample_docs", f"WITH {M} SELECT doc_id, subject FROM m ORDER BY filename LIMIT 3")
 def sample_docs(spark, sf_dir):
-    stored = parsed_content(spark, sf_dir).select("doc_id", "filename", "metadata.subject")
+    stored = content(spark, sf_dir).select("doc_id", "filename", "metadata.subject")
     return sources.sample_documents(stored, 3, "filename").drop("filename")
 
 

@@ -538,3 +538,16 @@ def upsert_outcomes(spark, sf_dir):
     """What each of the three writes did, as counted by the job that wrote."""
     rows = [(u.version, u.inserted, u.updated) for u in upserted_table(spark, sf_dir)[1]]
     return spark.createDataFrame(rows, "version int, inserted bigint, updated bigint")
+
+
+@query("scan_session_csv", f"""WITH {RAW} SELECT ip_src, nullif(ip_dst, '') AS ip_dst, smtp_req_command, smtp_req_parameter FROM raw
+    WHERE upper(smtp_req_command) = 'STAR' AND upper(smtp_req_parameter) = 'TLS'""")
+def scan_session_csv(spark, sf_dir):
+    """STARTTLS frames of a header CSV whose column names stand between blanks."""
+    path = new_path(spark, "sessions")
+    names = ["ip.src", "ip.dst", "smtp.req.command", "smtp.req.parameter"]
+    raw = raw_frames(spark, sf_dir).select(*[F.col(f"`{n}`").alias(f" {n} ") for n in names])
+    raw.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(path)
+    read = text_exports.read_session_csv(spark, path, ", ".join(f"` {n} ` string" for n in names))
+    return fr.undot(fr.starttls_frames(read))

@@ -108,3 +108,10 @@ def test_mail_documents_from_files(spark, tmp_path):
     assert [r["message"]["body_text"] for r in rows] == [f"body {i} long enough text" for i in range(3)]
     assert [r["network"]["source"]["ip"] for r in rows] == ["10.0.0.0", "10.0.0.1", None]
     assert rows[0]["network"]["source"]["is_private"] and rows[2]["network"]["destination"]["is_private"] is None
+
+
+def test_key_filters_stay_below_the_parser(spark, sf_dir):
+    from letterscope.catalog import letters
+
+    plan = plan_of(letters.QUERIES["messages_by_id"](spark, sf_dir))
+    assert "PushedFilters: [In(doc_id" in plan or "PushedFilters: [Or" in plan, plan
