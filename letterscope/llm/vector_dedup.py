@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 from letterscope.llm.common import Staged
 from letterscope.llm.components import components
 
-ROTATIONS, RUN, BLOCK, SAMPLE, ROUNDS = 10, 16, 512, 5_000, 20
+TABLES, RUN, BLOCK, SAMPLE, ROUNDS = 40, 16, 512, 5_000, 20
 # At a cosine of 0.93 two codes differ in 12 % of their bits on average; a pair
 # meets in none of 40 tables of 16 bits with a probability of 0.4 %, a pair at
-# 0.95 with 0.02 %.
+# 0.95 with 0.02 %.  A width gives ``width // 16`` tables for each rotation (one
+# shorter table below 16), so narrow vectors get more rotations: every width has
+# at least 40 tables.
 FAR_SHARE = 0.30
 # Groups over this size are compared as one matrix.
 DENSE = 48
@@ -51,12 +53,14 @@ def learn_rotation(sample: np.ndarray, seed: int, rounds: int = ROUNDS) -> np.nd
 
 
 class Tables:
-    """Rotations for one width, and the table keys they give."""
+    """Rotations for one width, and the table keys they give: at least ``tables`` of them."""
 
-    def __init__(self, sample: np.ndarray, rotations: int = ROTATIONS, run: int = RUN):
+    def __init__(self, sample: np.ndarray, tables: int = TABLES, run: int = RUN):
+        width = sample.shape[1]
+        self.run = min(run, width)
+        rotations = -(-tables // (width // self.run))
         # Not centred: where near copies dominate, their mean would take away what they share.
         self.rotations = [learn_rotation(sample, seed) for seed in range(rotations)]
-        self.run = min(run, sample.shape[1])
 
     def codes(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Packed bits of all rotations, and the value of every run (n, tables)."""
@@ -132,8 +136,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, sample: int = SAMP
     nothing, and so do rows with a null id or label, and vectors of different
     lengths.  ``n_links`` counts the other rows linked directly, repeated rows
     included; ``component_id`` is the smallest vec_id that links reach.  A row
-    with a null id has a null component and is kept.  Other columns are not
-    read.  An empty table gives no rows.
+    with a null id has a null component and is kept.  Rows that repeat an id
+    with another vector or label are vectors of their own: the id alone links
+    nothing.  Other columns are not read.  An empty table gives no rows.
 
     The rotations are learned on at most ``sample`` vectors, chosen by hash;
     every vector is coded and looked up.
@@ -149,17 +154,19 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, sample: int = SAMP
     identity = [F.xxhash64(F.lit(k), "label", "embedding") for k in (1, 2)]
     keyed = marked.withColumns({"h1": F.when(F.col("sound"), identity[0]), "h2": F.when(F.col("sound"), identity[1])})
     rows = Staged(keyed.select("vec_id", "h1", "h2"), "vector-rows")
+    # A class is named by its place in the stored table: two classes may share ids, but never a name.
     classes = Staged(
-        keyed.filter("sound").groupBy("h1", "h2", "label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")),
-        "vector-classes")
+        keyed.filter("sound").groupBy("h1", "h2", "label", "embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
+        .withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     links = _class_links(classes.df, threshold, sample)
     parts = components(links.df.filter("least is not null"), "node", "least")
+    named = classes.df.select("h1", "h2", "node", "copies", "first").join(parts.df, "node", "left")
+    reached = named.filter("root is not null").groupBy("root").agg(F.min("first").alias("reached"))
     by_class = (
-        classes.df.select("h1", "h2", "node", "copies")
-        .join(links.df.groupBy("node").agg(F.sum("others").alias("others")), "node", "left")
-        .join(parts.df, "node", "left")
+        named.join(links.df.groupBy("node").agg(F.sum("others").alias("others")), "node", "left")
+        .join(reached, "root", "left")
         .select("h1", "h2", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"),
-                F.coalesce("root", "node").alias("smallest"))
+                F.coalesce("reached", "first").alias("smallest"))
     )
     component = F.coalesce("smallest", "vec_id")
     return rows.df.join(by_class, ["h1", "h2"], "left").select(
@@ -170,7 +177,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, sample: int = SAMP
 def _class_links(classes: DataFrame, threshold: float, sample: int) -> Staged:
     """(node, others, least): rows linked to a class, in parts, and edges that span the linked classes."""
     spark = classes.sparkSession
-    drawn = classes.orderBy(F.xxhash64("node"), "node").limit(sample).select("embedding").toPandas()["embedding"]
+    drawn = classes.orderBy("h1", "h2").limit(sample).select("embedding").toPandas()["embedding"]
     by_width: dict[int, list] = {}
     for v in drawn:
         by_width.setdefault(len(v), []).append(v)
