@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from letterscope.catalog import letters, traffic
+    from letterscope.catalog import coded_mail, letters, traffic
 
-    return [traffic, letters]
+    return [traffic, letters, coded_mail]
 
 
 def all_queries() -> dict:

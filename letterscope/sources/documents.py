@@ -33,6 +33,17 @@ def read_messages(
     )
 
 
+def file_census(spark: SparkSession, path: str | list[str], pattern: str | None = None, min_bytes: int = 0) -> DataFrame:
+    """What :func:`read_messages` keeps and drops by size: files, too_small, bytes_kept.  No file is opened."""
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    kept = F.col("length") >= min_bytes
+    return reader.load(path).agg(
+        F.count("*").alias("files"), F.count_if(~kept).alias("too_small"),
+        F.coalesce(F.sum(F.when(kept, F.col("length"))), F.lit(0)).alias("bytes_kept"))
+
+
 def read_json_array(spark: SparkSession, path: str | list[str], schema: str | StructType) -> DataFrame:
     """Files holding one JSON array of objects each; unreadable input is an error.
 
