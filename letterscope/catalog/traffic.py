@@ -9,6 +9,7 @@ from letterscope.catalog.adapters import (
 )
 from letterscope.functions import address, net, smtp
 from letterscope.functions.text import digit_int, epoch_ts, safe_int, to_double
+from letterscope.operators import distinct_sketches as sketching
 from letterscope.operators import frames as fr
 from letterscope.operators import checked_load, loading, ordinals, reports
 from letterscope.operators.keyed_table import KeyedTable
@@ -284,6 +285,19 @@ def traffic_summary(spark, sf_dir):
     return reports.traffic_summary(classified(spark, sf_dir))
 
 
+@query("distinct_sketches", f"""WITH {KIND} SELECT unnest(['smtp_command', 'ip_src', 'ip_dst']) AS "column",
+    unnest([count(DISTINCT smtp_command), count(DISTINCT ip_src), count(DISTINCT ip_dst)]) AS exact, true AS within_bound FROM k""")
+def distinct_sketches(spark, sf_dir):
+    """Exact distinct counts beside the merged daily sketches' estimates."""
+    columns = ["smtp_command", "ip_src", "ip_dst"]
+    frames = classified(spark, sf_dir)
+    sketches = sketching.daily_sketches(frames, "timestamp", columns)
+    exact = frames.agg(*[F.countDistinct(c).alias(c) for c in columns]).unpivot([], columns, "column", "exact")
+    off = F.abs(F.col("estimate") - F.col("exact"))
+    return exact.join(sketching.distinct_estimates(sketches, columns), "column").select(
+        "column", "exact", (off <= sketching.error_bound() * F.col("exact")).alias("within_bound"))
+
+
 @query("top_sources", f"""WITH {CLEAN} SELECT ip_src AS source_ip, count(*) AS n FROM c
     WHERE ip_src IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""")
 def top_sources(spark, sf_dir):
