@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import mimetypes
+from collections.abc import Iterator
 from email import policy
 from email.header import decode_header, make_header
 from email.parser import BytesParser
@@ -42,6 +43,8 @@ TAKEN_APART = (
 SHOWN = ("message-id", "date", "from", "to", "cc", "bcc", "subject")
 # Fixed value: the base64 alphabet, padding and line end.
 BASE64_TEXT = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=\n")
+# How many messages a worker holds taken apart, and bytes of them; one message may be larger.
+HELD_ROWS, HELD_BYTES = 64, 1 << 22
 
 
 _HEADERS: dict[tuple[str, str], object] = {}
@@ -181,21 +184,39 @@ def _arrow_type() -> pa.DataType:
     return to_arrow_type(struct(TAKEN_APART))
 
 
+def _taken(content: bytes | None, again: bool) -> dict:
+    if content is None:
+        return {"problem": "no content"}
+    try:
+        return take_apart(content, again)
+    except Exception as error:
+        return {"problem": sound(f"{type(error).__name__}: {error}")}
+
+
+def taken_apart(contents: Iterator[pa.Array], again: bool, returned: pa.DataType) -> Iterator[pa.Array]:
+    """Batches of messages taken apart, returned in small ones.
+
+    Messages grow several times over as Python objects, so what a worker holds
+    of them must not depend on how many rows the session puts in a batch.
+    """
+    rows, size = [], 0
+    for batch in contents:
+        for item in batch:
+            content = item.as_py()
+            rows.append(_taken(content, again))
+            size += len(content or b"")
+            if len(rows) >= HELD_ROWS or size >= HELD_BYTES:
+                yield pa.array(rows, returned)
+                rows, size = [], 0
+    if rows:
+        yield pa.array(rows, returned)
+
+
 def _taker(again: bool):
     returned = _arrow_type()
 
-    def run(contents: pa.Array) -> pa.Array:
-        rows = []
-        for item in contents:
-            content = item.as_py()
-            if content is None:
-                rows.append({"problem": "no content"})
-                continue
-            try:
-                rows.append(take_apart(content, again))
-            except Exception as error:
-                rows.append({"problem": sound(f"{type(error).__name__}: {error}")})
-        return pa.array(rows, returned)
+    def run(contents: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return taken_apart(contents, again, returned)
 
     # Marked nondeterministic so that a filter on the result does not make the
     # optimizer run the parser twice.

@@ -145,3 +145,18 @@ def test_messages_are_parsed_once(mails):
     parsed = mime.parse_messages(mails.select("name", "content")).filter("parse_error is null and subject <> ''")
     plan = parsed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_messages_are_held_in_small_batches(spark):
+    """One batch of many or of large messages comes back in several; all rows, in order."""
+    kind = mime._arrow_type()
+    many = [None if i == 7 else f"{HEAD}Subject: s{i}\r\n\r\nx".encode() for i in range(1000)]
+    batches = list(mime.taken_apart(iter([mime.pa.array(many[:900]), mime.pa.array(many[900:])]), False, kind))
+    assert max(map(len, batches)) <= mime.HELD_ROWS
+    subjects = [r["subject"] for b in batches for r in b.to_pylist()]
+    assert subjects == [None if i == 7 else f"s{i}" for i in range(1000)]
+    large = [HEAD.encode() + b"\r\n" + b"x" * mime.HELD_BYTES] * 3
+    assert [len(b) for b in mime.taken_apart(iter([mime.pa.array(large)]), False, kind)] == [1, 1, 1]
+    assert list(mime.taken_apart(iter([]), False, kind)) == []
+    df = spark.range(0, 500, 1, 1).select("id", F.encode(F.concat(F.lit("Subject: s"), F.col("id"), F.lit("\r\n\r\nx")), "UTF-8").alias("content"))
+    assert {r["id"]: r["subject"] for r in mime.parse_messages(df).collect()} == {i: f"s{i}" for i in range(500)}
