@@ -643,4 +643,4 @@ def search_mail(spark, sf_dir):
     """Several queries over sender, recipient, subject and bodies of all messages in one join."""
     asked = spark.createDataFrame([(n, *q) for n, q in _MAIL_QUERIES.items()],
                                   "query_id int, query string, wants_all boolean, fields array<string>")
-    return mail_search.search(mail_search.mail_terms(content(spark, sf_dir), "doc_id"), "doc_id", asked)
+    return mail_search.search(mail_search.mail_terms(content(spark, sf_dir), "doc_id", queries=asked), "doc_id", asked)

@@ -15,14 +15,18 @@ from letterscope.functions.search import analyze
 FIELDS = {"from": "metadata.from", "to": "metadata.to", "subject": "metadata.subject", "text": "body.text", "html": "body.html"}
 
 
-def mail_terms(content: DataFrame, key: str, fields: dict[str, str] | None = None) -> DataFrame:
+def mail_terms(content: DataFrame, key: str, fields: dict[str, str] | None = None, queries: DataFrame | None = None) -> DataFrame:
     """``key, field, term, occurrences`` of parsed messages; fields without words have no rows.
 
     Worth storing.  A group is one term of one field of one message, so no
-    common word gathers in one task.
+    common word gathers in one task.  If only some ``queries`` will be asked,
+    other terms than theirs go before they are counted; the queries' terms are
+    broadcast.
     """
     named = [F.struct(F.lit(name).alias("field"), analyze(column).alias("terms")) for name, column in (fields or FIELDS).items()]
     words = content.select(key, F.inline(F.array(*named))).select(key, "field", F.explode("terms").alias("term"))
+    if queries is not None:
+        words = words.join(F.broadcast(query_terms(queries).select("term").distinct()), "term", "left_semi")
     return words.groupBy(key, "field", "term").agg(F.count("*").alias("occurrences"))
 
 

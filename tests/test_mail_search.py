@@ -36,6 +36,17 @@ def test_nothing_to_search_or_to_ask(spark):
     assert found(spark, mail=[]) == [] == found(spark, queries=[])
 
 
+def test_only_asked_terms_are_counted(spark):
+    mail = spark.createDataFrame(MAIL + MAIL[:1], CONTENT)
+    asked = spark.createDataFrame(QUERIES, "query_id int, query string, wants_all boolean, fields array<string>")
+    some, every = mail_search.mail_terms(mail, "id", queries=asked), mail_search.mail_terms(mail, "id")
+    assert {r["term"] for r in some.collect()} == {"quarterly", "report", "ann", "thanks"} < {r["term"] for r in every.collect()}
+    results = [sorted(map(tuple, mail_search.search(terms, "id", asked).collect())) for terms in (some, every)]
+    assert results[0] == results[1] != []
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("BroadcastHashJoin") > plan.index("Exchange hashpartitioning(id")  # printed from the top down
+
+
 def test_summary_file(spark, tmp_path):
     attachment = "array<struct<filename: string>>"
     rows = [(None, None, ("a@b.c", "d@e.f")), ("broken", None, None), (None, [("x",), ("y",)], ("a@b.c", ""))]
