@@ -75,10 +75,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_frames(spark: SparkSession, sf_dir: str, cells: list[str] = CSV_CELLS) -> DataFrame:
-    """``events`` as uncleaned frames, keyed by event_id."""
+    """``events`` as uncleaned frames, keyed by event_id.
+
+    A row group of narrow rows holds millions of frames and is read by one
+    task, so rows are spread evenly before cells are made and cleaned.
+    """
     events = table(spark, sf_dir, "events").selectExpr(
         "event_id", "unix_micros(CAST(ts AS TIMESTAMP)) AS us", "user_id", "event_type"
-    )
+    ).repartition(spark.sparkContext.defaultParallelism)
     return events.selectExpr("event_id", *[f"{FRAME_CELLS[c]} AS `{c}`" for c in cells])
 
 

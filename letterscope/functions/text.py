@@ -96,9 +96,11 @@ def to_double(value: Column | str) -> Column:
 
 def epoch_ts(seconds: Column | str) -> Column:
     """Epoch seconds (double) to a timestamp, to the nearest microsecond."""
-    value = as_col(seconds)
-    inside = (value >= F.lit(float(FIRST_SECOND))) & (value < F.lit(float(END_SECOND)))
-    return F.when(inside, F.timestamp_micros(F.rint(value * F.lit(1e6)).cast("bigint")))
+    def stamp(value: Column) -> Column:
+        inside = (value >= F.lit(float(FIRST_SECOND))) & (value < F.lit(float(END_SECOND)))
+        return F.when(inside, F.timestamp_micros(F.rint(value * F.lit(1e6)).cast("bigint")))
+
+    return bind(as_col(seconds), stamp)
 
 
 def contains_any_case(value: Column | str, word: str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from letterscope.functions.text import bind
+
 # Fixed values -------------------------------------------------------------
 TOP = 10
 # --------------------------------------------------------------------------
@@ -81,7 +83,8 @@ def auto_timeline(df: DataFrame, time: str, target: int = 50) -> DataFrame:
 
 def discover(df: DataFrame, time: str, start: Column, end: Column, *tie: str, n: int | None = None) -> DataFrame:
     """Rows of a time range, newest first; with ``n``, only the first so many."""
-    found = df.filter(F.col(time).between(start, end)).orderBy(F.desc(time), *tie)
+    # The optimizer puts the expression of a worked-out time in place of its name, as often as it is named.
+    found = df.filter(bind(F.col(time), lambda t: t.between(start, end))).orderBy(F.desc(time), *tie)
     return found if n is None else found.limit(n)
 
 

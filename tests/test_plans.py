@@ -115,3 +115,22 @@ def test_key_filters_stay_below_the_parser(spark, sf_dir):
 
     plan = plan_of(letters.QUERIES["messages_by_id"](spark, sf_dir))
     assert "PushedFilters: [In(doc_id" in plan or "PushedFilters: [Or" in plan, plan
+
+
+def test_frames_are_spread_before_they_are_cleaned(spark, sf_dir):
+    from letterscope.catalog import traffic
+
+    assert "RoundRobinPartitioning" in plan_of(traffic.classified(spark, sf_dir))
+    assert "RoundRobinPartitioning" in plan_of(traffic.records(spark, sf_dir))
+
+
+def test_a_time_range_works_out_the_time_once(spark):
+    from letterscope.functions.text import epoch_ts, to_double
+
+    df = spark.createDataFrame([(1, "10.5"), (2, "20"), (3, "x"), (4, None), (5, "15")], "i int, v string")
+    timed = df.select("i", epoch_ts(to_double("v")).alias("t"))
+    start, end = (F.timestamp_seconds(F.lit(n)) for n in (10, 15))
+    found = reports.discover(timed, "t", start, end, "i")
+    assert [r["i"] for r in found.collect()] == [5, 1]
+    condition = next(x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x)
+    assert condition.count("regexp_extract") <= 1
