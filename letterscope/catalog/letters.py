@@ -180,9 +180,10 @@ def fallback_names(spark, sf_dir):
 
 
 def message_files(spark, sf_dir):
-    """Every message as a file of its own."""
+    """Every message as a file of its own, written by all cores however few row groups the table has."""
     path = new_path(spark, "mail")
-    message_text(spark, sf_dir).select("text").write.option("maxRecordsPerFile", 1).text(path)
+    spread = message_text(spark, sf_dir).select("text").repartition(spark.sparkContext.defaultParallelism)
+    spread.write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 

@@ -138,3 +138,17 @@ def test_json_files_and_reports(spark, tmp_path):
     report = {r["File ID"]: r for r in loading.attachment_report(df).collect()}
     assert report[1]["Attachment Names"] == "a, unknown" and report[3]["From"] == "N/A"
     assert ordinals.with_ordinal(df.select("filename"), "filename").count() == 4
+
+
+def test_single_files_are_written_by_all_cores(spark, tmp_path):
+    """A table of one row group; what is written lies in one folder, named by the task that wrote it."""
+    from letterscope.catalog import letters
+
+    rows = [(i, f"text {i}", "en", "s", 6) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    path = letters.message_files(spark, str(tmp_path))
+    names = [r["filename"] for r in documents.read_messages(spark, path, "part-*").collect()]
+    assert len(names) == 40 and len({n.split("-")[1] for n in names}) == spark.sparkContext.defaultParallelism
+    found = letters.QUERIES["scan_eml"](spark, str(tmp_path))
+    assert sorted(r["doc_id"] for r in found.collect()) == list(range(40))
