@@ -1,16 +1,21 @@
 """Near-duplicate documents: MinHash bands for candidates, odd sketches to check them, full sets to confirm.
 
-1. Every document gets ``HASHES`` MinHash samples of its set of word shingles,
-   ``BANDS`` band keys made of ``ROWS`` samples each, an odd sketch (a bitmap
-   in which every sample flips one bit) and a 128-bit fingerprint of the set.
+1. Every document gets ``BANDS`` band keys made of ``ROWS`` MinHash samples of
+   its set of word shingles each, and a 128-bit fingerprint of the set.
 2. Equal fingerprints are one class; the rest works on one member of a class.
-3. Documents that share a band key are candidates.  Within a band key only a
-   few pivots are compared with all members, the most central first, and only
-   if they are not yet in one component.  Rounds use more pivots until every band key is settled, so
-   no link between components is lost and a group of like texts costs a
-   comparison for each member instead of one for each pair.
-4. The odd sketches' exclusive-or population count throws out pairs that are
-   too different already where they meet; the full sets decide on the others.
+3. Documents that share a band key are candidates.  Only they get an odd
+   sketch: a bitmap in which every member of the set flips one bit, so two
+   sketches differ in no more bits than the sets do in members.  Sets of more
+   than ``WHOLE`` members are sketched by ``HASHES`` MinHash samples.
+4. Within a band key only a few pivots are compared with all members, the most
+   central first, and only if they are not yet in one component.  The first
+   round has one pivot for each band key, so its pairs are no more than the
+   rows and meet as narrow ones.  Rounds use more pivots until every band key
+   is settled, so no link between components is lost and a group of like texts
+   costs a comparison for each member instead of one for each pair.
+5. The sketches' exclusive-or population count throws out pairs that are too
+   different, in later rounds by folded sketches already where they meet; the
+   full sets decide on the others.
 
 With 25 bands of 5 samples, a pair at the threshold of 0.85 shares no band with
 probability below 5e-7; more alike pairs are missed even more rarely.
@@ -30,7 +35,7 @@ from letterscope.llm.common import Staged
 from letterscope.llm.components import components
 from letterscope.llm.textvec import frames, mix, shingles, words
 
-BANDS, ROWS, HASHES, BITS = 25, 5, 512, 2048
+BANDS, ROWS, HASHES, BITS, FOLDED, WHOLE = 25, 5, 512, 2048, 1024, 4096
 
 _GENERATOR = np.random.Generator(np.random.PCG64(20240607))
 _FACTOR = _GENERATOR.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -75,49 +80,71 @@ def shingle_sets(texts: list[str | None], width: int) -> tuple[np.ndarray, np.nd
     return flat, np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int64)
 
 
-def sketches(flat: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprints (n, 2), band keys (n, BANDS) and odd sketches (n, BITS / 64) of non-empty sets."""
-    starts = first[:-1]
-    n = len(starts)
+def _samples(flat: np.ndarray, starts: np.ndarray, n_hashes: int) -> np.ndarray:
+    """The first ``n_hashes`` MinHash samples of non-empty sets, one row for each set."""
+    small = (flat >> np.uint64(32)).astype(np.uint32)
+    least = np.empty((len(starts), n_hashes), np.uint32)
     with np.errstate(over="ignore"):
-        prints = np.stack([np.add.reduceat(mix(flat, seed), starts) for seed in (21, 22)], axis=1)
-        small = (flat >> np.uint64(32)).astype(np.uint32)
-        least = np.empty((n, HASHES), np.uint32)
-        for j in range(HASHES):
+        for j in range(n_hashes):
             least[:, j] = np.minimum.reduceat(small * _FACTOR[j] + _SHIFT[j], starts)
-        keys = np.empty((n, BANDS), np.uint64)
+    return least
+
+
+def fingerprints(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Fingerprints (n, 2) of non-empty sets."""
+    with np.errstate(over="ignore"):
+        return np.stack([np.add.reduceat(mix(flat, seed), first[:-1]) for seed in (21, 22)], axis=1)
+
+
+def band_keys(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Band keys (n, BANDS) of non-empty sets."""
+    least = _samples(flat, first[:-1], BANDS * ROWS)
+    keys = np.empty((len(least), BANDS), np.uint64)
+    with np.errstate(over="ignore"):
         for b in range(BANDS):
-            key = np.full(n, b, np.uint64)
+            key = np.full(len(least), b, np.uint64)
             for j in range(b * ROWS, (b + 1) * ROWS):
                 key = mix(key + least[:, j], 31)
             keys[:, b] = key
-    bits = np.concatenate([_odd(least[i : i + 500]) for i in range(0, n, 500)])
-    return prints, keys, bits.view(np.uint64)
+    return keys
 
 
-def _odd(least: np.ndarray) -> np.ndarray:
-    """One bitmap for each row of samples; every sample flips the bit at its place."""
-    n = len(least)
-    place = mix(least.astype(np.uint64) | (np.arange(HASHES, dtype=np.uint64) << np.uint64(32)), 41) % np.uint64(BITS)
-    flips = np.bincount((np.arange(n)[:, None] * BITS + place.astype(np.int64)).ravel(), minlength=n * BITS)
-    return np.packbits((flips & 1).astype(np.uint8).reshape(n, BITS), axis=1)
+def sketches(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Odd sketches (n, BITS / 64) of non-empty sets: of all members, or of samples if there are more than ``WHOLE``."""
+    size = np.diff(first)
+    bits = np.empty((len(size), BITS // 64), np.uint64)
+    for i in range(0, len(size), 500):
+        own = size[i : i + 500]
+        bits[i : i + 500] = _odd(flat[first[i] : first[i] + own.sum()], own)
+    for i in np.flatnonzero(size > WHOLE):
+        least = _samples(flat[first[i] : first[i + 1]], np.zeros(1, np.int64), HASHES)[0]
+        bits[i] = _odd(least.astype(np.uint64) | (np.arange(HASHES, dtype=np.uint64) << np.uint64(32)), np.array([HASHES]))
+    return bits
+
+
+def _odd(members: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """One bitmap for each set of ``size`` members; every member flips the bit at its place."""
+    n = len(size)
+    place = (mix(members, 41) % np.uint64(BITS)).astype(np.int64)
+    flips = np.bincount(np.repeat(np.arange(n) * BITS, size) + place, minlength=n * BITS)
+    return np.packbits((flips & 1).astype(np.uint8).reshape(n, BITS), axis=1).view(np.uint64)
 
 
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
-    schema = "doc_id long, text_hash long, n_shingles long, node binary, bands array<long>, sketch array<long>"
+    schema = "doc_id long, text_hash long, n_shingles long, node binary, bands array<long>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in frames(batches):
             flat, first = shingle_sets(list(batch["text"]), width)
             size = np.diff(first)
             held = np.flatnonzero(size)
-            node, bands, sketch = ([None] * len(batch) for _ in range(3))
+            node, bands = ([None] * len(batch) for _ in range(2))
             if len(held):
-                prints, keys, bits = sketches(flat, np.append(first[held], first[-1]))
-                for k, i in enumerate(held):
-                    node[i], bands[i], sketch[i] = prints[k].tobytes(), keys[k].view(np.int64), bits[k].view(np.int64)
+                ends = np.append(first[held], first[-1])
+                for i, own, keys in zip(held, fingerprints(flat, ends), band_keys(flat, ends).view(np.int64), strict=True):
+                    node[i], bands[i] = own.tobytes(), keys
             yield pd.DataFrame({"doc_id": batch["doc_id"].array, "text_hash": batch["text_hash"].array,
-                                "n_shingles": size, "node": node, "bands": bands, "sketch": sketch})
+                                "n_shingles": size, "node": node, "bands": bands})
 
     return _identified(docs).mapInPandas(run, schema)
 
@@ -127,13 +154,21 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """The set of every text that has words, with what pairs are judged by before sets are compared."""
+    schema = "node binary, n_shingles long, bands array<long>, sketch array<long>, folded array<long>, members array<long>"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in frames(batches):
             flat, first = shingle_sets(list(batch["text"]), width)
-            flat = flat.view(np.int64)
-            yield pd.DataFrame({"node": list(batch["node"]), "members": [flat[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]})
+            bits = sketches(flat, first)
+            # Folding keeps the parity of members at a place, so the bound of whole sketches holds.
+            folded = np.bitwise_xor.reduce(bits.reshape(len(bits), BITS // FOLDED, FOLDED // 64), axis=1)
+            yield pd.DataFrame({
+                "node": list(batch["node"]), "n_shingles": np.diff(first), "bands": list(band_keys(flat, first).view(np.int64)),
+                "sketch": list(bits.view(np.int64)), "folded": list(folded.view(np.int64)),
+                "members": [flat.view(np.int64)[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]})
 
-    return docs.select("node", "text").mapInPandas(run, "node binary, members array<long>")
+    return docs.select("node", "text").mapInPandas(run, schema)
 
 
 class NearDuplicates:
@@ -148,90 +183,113 @@ class NearDuplicates:
         self.width, self.percent = width, percent
         signed = Staged(_signatures(docs, width), "signatures")
         self.documents = signed.df.select("doc_id", "text_hash", "n_shingles", "node")
-        # Equal sets have equal bands and sketches, so any row of a class will do.
-        same = [F.any_value(c).alias(c) for c in ("n_shingles", "bands", "sketch")]
+        # Equal sets have equal bands, so any row of a class will do.
         classes = Staged(signed.df.filter("node is not null").groupBy("node").agg(
-            F.min(F.struct("doc_id", "text_hash")).alias("least"), F.min("doc_id").alias("rep"), *same), "classes")
+            F.min(F.struct("doc_id", "text_hash")).alias("least"), F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")), "classes")
         self.classes = classes.df.select("node", "rep", "least")
-        banded = Staged(classes.df.select("node", F.posexplode("bands").alias("band", "bucket")), "bands")
-        shared = banded.df.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
-        crowded = banded.df.join(shared.filter("low <> high").select("bucket", "n"), "bucket")
+        banded = classes.df.select("node", F.posexplode("bands").alias("band", "bucket"))
+        shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+        crowded = Staged(banded.join(shared, "bucket"), "crowded")
         # The node that shares most band keys is the likeliest to be linked with the others.
-        central = crowded.groupBy("node").agg((-F.sum("n")).alias("outside"))
-        details = classes.df.select("node", "n_shingles", "bands", "sketch").join(central, "node")
-        members = Staged(crowded.drop("n").join(details, "node"), "members")
-        banded.drop()
+        central = Staged(crowded.df.groupBy("node").agg((-F.sum("n")).alias("outside")), "central")
+        members = Staged(crowded.df.join(central.df, "node"), "members")
+        crowded.drop()
         # Stored, so that its size is known where texts are joined with it.
-        wanted = Staged(self.classes.join(members.df.select("node").distinct(), "node").select(
-            "node", F.col("least.doc_id").alias("rep_id"), F.col("least.text_hash").alias("text_hash")), "wanted")
+        wanted = Staged(self.classes.join(central.df.select("node"), "node").select(
+            "node", F.col("least.doc_id").alias("doc_id"), F.col("least.text_hash").alias("text_hash")), "wanted")
         sets = Staged(_sets(self._texts(docs, wanted.df), width), "sets")
-        wanted.drop()
+        for staged in (central, wanted):
+            staged.drop()
         self.labels = self._links(members.df, sets.df)
         for staged in (members, sets):
             staged.drop()
 
     @staticmethod
     def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-        """(node, text) of the classes that share a band key with another one."""
-        return (
-            _identified(docs).join(wanted, "text_hash").filter(F.col("doc_id").eqNullSafe(F.col("rep_id")))
-            .select("node", "text").dropDuplicates(["node"])
-        )
+        """(node, text) of the classes that share a band key with another one.
+
+        Every text moves once, and none is sorted: a task holds its part of the
+        narrow rows of ``wanted``.  Rows of one id and text meet in it.
+        """
+        def keyed(rows: DataFrame, *others: str) -> DataFrame:
+            return rows.select("text_hash", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), *others)
+
+        keys = ["text_hash", "id", "none"]
+        found = keyed(_identified(docs), "text").join(keyed(wanted, "node").hint("shuffle_hash"), keys)
+        return found.dropDuplicates(keys).select("node", "text")
 
     def _links(self, members: DataFrame, sets: DataFrame) -> Staged:
         """Components of the confirmed links between classes."""
-        middle = members.groupBy("bucket").agg(F.min(F.struct("outside", "node")).alias("least")).select("bucket", F.col("least.node").alias("node"))
-        pairs = self._pairs(members, members.join(middle, ["bucket", "node"], "left_semi"), F.lit(True))
-        parts = components(self._confirmed(pairs, sets), "a", "b")
-        seen, more = 1, 128
+        middle = members.groupBy("bucket").agg(F.min(F.struct("outside", "node"))["node"].alias("pivot"))
+        met = members.join(middle, "bucket").filter("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+        parts = components(self._confirmed(self._like(met.distinct(), sets), sets), "a", "b")
+        seen, more, rest, held = 1, 2048, members, []
         while True:
-            placed = members.join(parts.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-            open_ = open_.filter((F.col("low") != F.col("high")) & (F.col("n") > seen)).select("bucket")
-            unsettled = Staged(placed.join(open_, "bucket"), "unsettled")
+            # All pairs of a band key have met if no more than one member was not a pivot.
+            placed = rest.filter(F.col("n") > seen + 1).join(parts.df, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            open_ = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+            unsettled = Staged(placed.join(open_.select("bucket"), "bucket"), "unsettled")
+            for staged in held:
+                staged.drop()
             if unsettled.df.isEmpty():
                 unsettled.drop()
                 break
             # Ranks are limited inside each task first, so a hot band key does not gather in one.
             rank = F.row_number().over(Window.partitionBy("bucket").orderBy("outside", "node"))
             ranked = unsettled.df.select("bucket", "outside", "node").withColumn("rank", rank).filter(F.col("rank") <= seen + more)
-            pivots = unsettled.df.join(ranked.filter(F.col("rank") > seen).select("bucket", "node"), ["bucket", "node"], "left_semi")
-            apart = F.col("root") != F.col("a_root")
-            links = self._confirmed(self._pairs(unsettled.df, pivots, apart), sets)
+            ranked = ranked.filter(F.col("rank") > seen).select("bucket", "node")
+            detailed = Staged(unsettled.df.join(sets.drop("members", "sketch"), "node"), "detailed")
+            pivots = detailed.df.join(ranked, ["bucket", "node"], "left_semi")
+            # Stored, so that few pairs are known to be few where sets are joined with them.
+            pairs = Staged(self._like(self._pairs(detailed.df, pivots), sets), "pairs")
             # Earlier links are held by the labels.
             labels = parts.df.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            merged = components(links.union(labels), "a", "b")
-            for staged in (unsettled, parts):
+            merged = components(self._confirmed(pairs.df, sets).union(labels), "a", "b")
+            for staged in (detailed, pairs, parts):
                 staged.drop()
-            parts = merged
+            # A band key that is settled stays so.
+            parts, rest, held = merged, unsettled.df.drop("root"), [unsettled]
             seen, more = seen + more, more * 32
         return parts
 
-    def _pairs(self, members: DataFrame, pivots: DataFrame, wanted: Column) -> DataFrame:
-        """Members against the pivots of their band key, where the odd sketches allow a link.
+    def _near(self, a: str, b: str, sketch: str, longs: int) -> Column:
+        """Whether sizes and sketches of two sets allow a link; the columns' names begin with ``a`` and ``b``."""
+        n, m = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+        differing = sum((F.bit_count(F.get(f"{a}{sketch}", F.lit(i)).bitwiseXOR(F.get(f"{b}{sketch}", F.lit(i)))) for i in range(longs)), F.lit(0))
+        # Linked sets differ in (n + m) * (100 - percent) / (100 + percent) members at most, sketches of all members in no more bits.
+        most = F.when(F.greatest(n, m) <= WHOLE, F.floor((n + m) * (100 - self.percent) / (100 + self.percent)))
+        if longs == BITS // 64:
+            most = F.when(F.least(n, m) > WHOLE, far_apart(self.percent)).otherwise(most)
+        return (100 * F.least(n, m) >= self.percent * F.greatest(n, m)) & (differing <= F.coalesce(most, F.lit(BITS)))
+
+    def _like(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs whose sizes and sketches allow a link."""
+        def side(name: str) -> DataFrame:
+            return sets.select(F.col("node").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n_shingles", "sketch")))
+
+        near = self._near("a_", "b_", "sketch", BITS // 64)
+        return pairs.join(side("b"), "b").join(side("a"), "a").filter(near).select("a", "b")
+
+    def _pairs(self, members: DataFrame, pivots: DataFrame) -> DataFrame:
+        """Members against the pivots of their band key, in other components, where sizes and folded sketches allow a link.
 
         A pair counts in the first band key that both share only.
         """
-        named = pivots.select("bucket", *(F.col(c).alias(f"a_{c}") for c in pivots.columns if c not in ("bucket", "band")))
-        differing = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("a_sketch", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+        named = pivots.select("bucket", *(F.col(c).alias(f"a_{c}") for c in ("node", "root", "n_shingles", "bands", "folded")))
         earlier = F.arrays_overlap(F.slice("bands", F.lit(1), F.col("band")), F.col("a_bands"))
-        sizes = 100 * F.least("n_shingles", "a_n_shingles") >= self.percent * F.greatest("n_shingles", "a_n_shingles")
-        met = wanted & (F.col("node") != F.col("a_node")) & sizes & (differing <= far_apart(self.percent)) & ~earlier
+        met = (F.col("root") != F.col("a_root")) & self._near("", "a_", "folded", FOLDED // 64) & ~earlier
         return (
             members.join(named, (members["bucket"] == named["bucket"]) & met)
             .select(F.least("a_node", "node").alias("a"), F.greatest("a_node", "node").alias("b")).distinct()
         )
 
     def _confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        def side(name: str) -> DataFrame:
-            return sets.select(F.col("node").alias(name), F.col("members").alias(f"{name}_set"))
-
-        common = F.size(F.array_intersect("a_set", "b_set"))
-        union = F.size("a_set") + F.size("b_set") - common
-        return (
-            pairs.join(side("b"), "b").join(side("a"), "a")
-            .filter(100 * common >= self.percent * union).select("a", "b")
-        )
+        """Pairs of different nodes whose full sets are alike; the sets move once, and then to their pairs."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b")
+        met = ends.join(sets.select("node", "members"), "node").groupBy("a", "b").agg(F.collect_list("members").alias("both"))
+        common = F.size(F.array_intersect(F.get("both", F.lit(0)), F.get("both", F.lit(1))))
+        union = F.size(F.get("both", F.lit(0))) + F.size(F.get("both", F.lit(1))) - common
+        return met.filter(100 * common >= self.percent * union).select("a", "b")
 
     def rows(self) -> DataFrame:
         """doc_id, n_shingles, component_id, kept, text_hash of every input row."""
