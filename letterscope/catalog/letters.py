@@ -11,7 +11,7 @@ from letterscope.functions.text import strip_or_null
 from letterscope.operators import checked_load, loading, mail_search, mime, ordinals, reports
 from letterscope.schemas import CONTENT, FINAL_DOCUMENT, MESSAGE
 from letterscope.sources import documents as sources
-from letterscope.staging import new_path, stage
+from letterscope.staging import new_path, single_files, stage
 
 QUERIES = {}
 ORACLE = {}
@@ -180,11 +180,8 @@ def fallback_names(spark, sf_dir):
 
 
 def message_files(spark, sf_dir):
-    """Every message as a file of its own, written by all cores however few row groups the table has."""
-    path = new_path(spark, "mail")
-    spread = message_text(spark, sf_dir).select("text").repartition(spark.sparkContext.defaultParallelism)
-    spread.write.option("maxRecordsPerFile", 1).text(path)
-    return path
+    """Every message as a file of its own; the folders of the files."""
+    return single_files(message_text(spark, sf_dir).select("text"), "mail")
 
 
 def _key(column):
@@ -232,8 +229,7 @@ def parse_messages_c(spark, sf_dir):
 @query("scan_eml", f"WITH {M} SELECT doc_id, subject, true AS file_size_known FROM m")
 def scan_eml(spark, sf_dir):
     read = sources.read_messages(spark, message_files(spark, sf_dir), pattern="*.txt", min_bytes=0)
-    spread = read.repartition(spark.sparkContext.defaultParallelism)
-    parsed = mime.parse_content(spread.withColumn("file_id", F.lit(1).cast("bigint")))
+    parsed = mime.parse_content(read.withColumn("file_id", F.lit(1).cast("bigint")))
     return parsed.select(
         _key("metadata.message_id"), "metadata.subject", (F.col("file_size") > 50).alias("file_size_known")
     )
