@@ -459,11 +459,9 @@ def scan_json_docs(spark, sf_dir):
     true AS named FROM m""")
 def scan_json_glob(spark, sf_dir):
     """Every record as a JSON file of its own, read back with file names."""
-    path = new_path(spark, "objects")
     docs = content(spark, sf_dir).select("file_id", "metadata", "attachments")
     text = F.to_json(F.struct("file_id", "metadata", "attachments")).alias("value")
-    docs.select(text).write.option("maxRecordsPerFile", 1).text(path)
-    read = sources.read_json_files(spark, path, CONTENT, "*.txt")
+    read = sources.read_json_files(spark, single_files(docs.select(text), "objects"), CONTENT, "*.txt")
     return read.select(
         F.col("file_id").alias("doc_id"), "metadata.subject", F.size("attachments").alias("n_attachments"),
         F.endswith("source_file", F.lit(".txt")).alias("named"),

@@ -89,13 +89,13 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: str | St
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def read_json_files(spark: SparkSession, path: str, schema: str | StructType, pattern: str = "*.json") -> DataFrame:
+def read_json_files(spark: SparkSession, path: str | list[str], schema: str | StructType, pattern: str = "*.json") -> DataFrame:
     """One JSON object per file, with the file's name; unreadable files are skipped."""
-    return (
+    files = (
         spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED")
         .option("pathGlobFilter", pattern).json(path)
-        .select("*", F.col("_metadata.file_name").alias("source_file"))
     )
+    return in_fewer_tasks(files.select("*", F.col("_metadata.file_name").alias("source_file")))
 
 
 def sample_documents(table: DataFrame, n: int, *order: str) -> DataFrame:

@@ -58,9 +58,12 @@ def test_a_task_reads_many_small_files(spark, tmp_path):
         (tmp_path / f"{i}.json").write_text(f'{{"file_id": {i}}}')
     read = documents.read_messages(spark, str(tmp_path))
     assert read.rdd.getNumPartitions() == n and read.count() == 40 * n
+    objects = documents.read_json_files(spark, str(tmp_path), "file_id bigint")
+    assert objects.rdd.getNumPartitions() == n
+    assert sorted(r["file_id"] for r in objects.collect()) == list(range(40 * n))
 
 
-@pytest.mark.parametrize("name", ["scan_eml"])
+@pytest.mark.parametrize("name", ["scan_eml", "scan_json_glob"])
 def test_one_file_a_document(spark, tmp_path, shared, name):
     """No process to set a file's mode, no file beside the documents' own, also where tasks have none; content moves once."""
     shared(f"file://{tmp_path}/shared")
