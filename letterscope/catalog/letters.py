@@ -191,7 +191,7 @@ def _key(column):
 @query("scan_messages", f"WITH {M} SELECT {_FIRST} FROM m")
 def scan_messages(spark, sf_dir):
     read = sources.read_messages(spark, message_files(spark, sf_dir))
-    parsed = mime.parse_messages(read.repartition(spark.sparkContext.defaultParallelism))
+    parsed = mime.parse_messages(read)
     return first_form_view(parsed.withColumn("doc_id", _key("message_id")))
 
 

@@ -63,7 +63,7 @@ def test_a_task_reads_many_small_files(spark, tmp_path):
     assert sorted(r["file_id"] for r in objects.collect()) == list(range(40 * n))
 
 
-@pytest.mark.parametrize("name", ["scan_eml", "scan_json_glob"])
+@pytest.mark.parametrize("name", ["scan_eml", "scan_json_glob", "scan_messages"])
 def test_one_file_a_document(spark, tmp_path, shared, name):
     """No process to set a file's mode, no file beside the documents' own, also where tasks have none; content moves once."""
     shared(f"file://{tmp_path}/shared")
