@@ -51,7 +51,7 @@ def file_census(spark: SparkSession, path: str | list[str], pattern: str | None
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     kept = F.col("length") >= min_bytes
-    return reader.load(path).agg(
+    return in_fewer_tasks(reader.load(path).select("length")).agg(
         F.count("*").alias("files"), F.count_if(~kept).alias("too_small"),
         F.coalesce(F.sum(F.when(kept, F.col("length"))), F.lit(0)).alias("bytes_kept"))
 

@@ -61,9 +61,12 @@ def test_a_task_reads_many_small_files(spark, tmp_path):
     objects = documents.read_json_files(spark, str(tmp_path), "file_id bigint")
     assert objects.rdd.getNumPartitions() == n
     assert sorted(r["file_id"] for r in objects.collect()) == list(range(40 * n))
+    census = documents.file_census(spark, str(tmp_path), min_bytes=16)
+    assert "Coalesce" in census._jdf.queryExecution().executedPlan().toString()
+    assert census.first().asDict() == {"files": 40 * n, "too_small": 100, "bytes_kept": sum(13 + len(str(i)) for i in range(100, 40 * n))}
 
 
-@pytest.mark.parametrize("name", ["scan_eml", "scan_json_glob", "scan_messages"])
+@pytest.mark.parametrize("name", ["scan_eml", "scan_json_glob", "scan_messages", "small_files"])
 def test_one_file_a_document(spark, tmp_path, shared, name):
     """No process to set a file's mode, no file beside the documents' own, also where tasks have none; content moves once."""
     shared(f"file://{tmp_path}/shared")
