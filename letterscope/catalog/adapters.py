@@ -109,13 +109,12 @@ MESSAGE_SQL = {
 }
 
 
-def message_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as RFC 822 text, in three shapes by ``doc_id % 3``.
+def message_text(docs: DataFrame) -> DataFrame:
+    """Documents as RFC 822 text, in three shapes by ``doc_id % 3``.
 
     0: text and a named base64 attachment; 1: one text part; 2: HTML and an
     unnamed inline image.
     """
-    docs = table(spark, sf_dir, "documents")
     day = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 60)
     date = F.concat(F.date_format(day, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
     b = F.concat(F.lit("=_part_"), F.col("doc_id").cast("string"))
@@ -165,7 +164,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Parsing is the costly step, so rows are spread evenly before it.
     """
-    raw = message_text(spark, sf_dir).select("doc_id", F.encode("text", "UTF-8").alias("content"))
+    raw = message_text(table(spark, sf_dir, "documents")).select("doc_id", F.encode("text", "UTF-8").alias("content"))
     name = F.concat(F.lit("msg-"), F.lpad(F.col("doc_id").cast("string"), 12, "0"), F.lit(".eml"))
     return raw.repartition(spark.sparkContext.defaultParallelism).select(
         "doc_id", name.alias("path"), name.alias("filename"),

@@ -11,7 +11,7 @@ from letterscope.functions.text import strip_or_null
 from letterscope.operators import checked_load, loading, mail_search, mime, ordinals, reports
 from letterscope.schemas import CONTENT, FINAL_DOCUMENT, MESSAGE
 from letterscope.sources import documents as sources
-from letterscope.staging import new_path, single_files, stage
+from letterscope.staging import new_path, on_all_cores, single_files, stage
 
 QUERIES = {}
 ORACLE = {}
@@ -180,8 +180,8 @@ def fallback_names(spark, sf_dir):
 
 
 def message_files(spark, sf_dir):
-    """Every message as a file of its own; the folders of the files."""
-    return single_files(message_text(spark, sf_dir).select("text"), "mail")
+    """Every message as a file of its own, written by all cores however few row groups the table has; the folders of the files."""
+    return single_files(message_text(on_all_cores(table(spark, sf_dir, "documents"))).select("text"), "mail")
 
 
 def _key(column):

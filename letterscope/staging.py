@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Files a folder of single files holds; of many folders, each is listed by a task.
 FOLDER_FILES = 1024
@@ -78,21 +79,26 @@ def _file_writer(top: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
+def on_all_cores(table: DataFrame) -> DataFrame:
+    """``table`` on all cores; rows move only if one partition holds over twice a core's share, as a large row group does."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    held = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+    return table.repartition(cores) if held and max(held) * cores > 2 * sum(held) else table
+
+
 def single_files(texts: DataFrame, label: str) -> list[str]:
     """Write each row of the one text column as a file of its own, as Spark's text writer does; returns their folders.
 
-    All cores write, however few partitions ``texts`` has.  Where the shared
-    folder is a mounted one, Spark's writer makes Hadoop start processes for
-    every file to set its mode, and the driver moves each file once more; there
-    the tasks write the files themselves.
+    Where the shared folder is a mounted one, Spark's writer makes Hadoop start
+    processes for every file to set its mode, and the driver moves each file
+    once more; there the tasks write the files themselves.
     """
     spark = texts.sparkSession
     path = new_path(spark, label)
-    spread = texts.repartition(spark.sparkContext.defaultParallelism)
     top = local_folder(spark, path)
     if top is None:
-        spread.write.option("maxRecordsPerFile", 1).text(path)
+        texts.write.option("maxRecordsPerFile", 1).text(path)
         return [path]
     os.makedirs(top)
-    folders = spread.mapInArrow(_file_writer(top), "folder string").collect()
+    folders = texts.mapInArrow(_file_writer(top), "folder string").collect()
     return [f"{path}/{r['folder']}" for r in folders] or [path]

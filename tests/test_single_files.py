@@ -51,6 +51,16 @@ def test_no_texts(spark):
     assert documents.read_messages(spark, staging.single_files(none, "none")).count() == 0
 
 
+def test_rows_move_only_where_few_partitions_hold_them(spark):
+    def moved(table):
+        return "Exchange" in staging.on_all_cores(table)._jdf.queryExecution().executedPlan().toString()
+
+    cores = spark.sparkContext.defaultParallelism
+    assert moved(spark.range(0, 800, 1, 1)) and moved(spark.range(0, 800, 1, cores).filter("id < 100"))
+    assert not moved(spark.range(0, 800, 1, cores)) and not moved(spark.range(0, 800, 1, 5 * cores))
+    assert staging.on_all_cores(spark.range(0)).count() == 0 and staging.on_all_cores(spark.range(3)).count() == 3
+
+
 def test_a_task_reads_many_small_files(spark, tmp_path):
     """Spark gives a task 32 of them."""
     n = 8 * spark.sparkContext.defaultParallelism
